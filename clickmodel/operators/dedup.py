@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The columns that identify one event; the parameter payload (as JSON) is
-# appended so that events differing only in their parameters are kept apart.
+# The columns that identify one event; the parameter payload is appended so
+# that events differing only in their parameters are kept apart.
 DEDUP_KEYS = ["event_date_dt", "stream_id", "user_pseudo_id", "session_id", "event_name", "event_timestamp"]
 
 
@@ -45,9 +45,10 @@ def dedup_events(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, payload: str =
     orderable column in schema order), so reruns are reproducible; exact copies are
     interchangeable anyway. Comparison work only happens between rows of the same group.
     """
-    payload_json = F.to_json(F.col(payload))
+    # Payload equality is compared on the array itself (hashable and orderable in Spark):
+    # the same grouping as comparing its JSON text, without building a string per row.
     if order is None:
         tie = _orderable(df, set(keys) | {payload})
     else:
         tie = [F.col(c) for c in order]
-    return first_per_group(df, [*keys, payload_json], tie)
+    return first_per_group(df, [*keys, payload], tie)

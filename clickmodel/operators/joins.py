@@ -5,20 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+HOT_KEY_ROWS_CONF = "clickmodel.join.hotKeyRows"
+DEFAULT_HOT_KEY_ROWS = 1_000_000
 
-def left_join(left: DataFrame, right: DataFrame, key: str, skew_safe: bool = True) -> DataFrame:
+
+def max_rows_per_key(df: DataFrame, key: str) -> int:
+    """Largest number of rows sharing one key value. Reads only the key column and is
+    partially aggregated before its shuffle, so a hot key costs one row per map task."""
+    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    return int(r["m"] or 0)
+
+
+def _skewed(right: DataFrame, key: str, hot_key_rows: int | None) -> bool:
+    if hot_key_rows is None:
+        hot_key_rows = int(right.sparkSession.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
+    return max_rows_per_key(right, key) > hot_key_rows
+
+
+def left_join(left: DataFrame, right: DataFrame, key: str, skew_safe: bool | str = "auto",
+              hot_key_rows: int | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (key)``.
 
-    Spark's adaptive skew handling can split a hot key only on the *left* side of a left
-    outer join. With ``skew_safe`` the join is written as
+    Spark's adaptive skew handling can split a hot key only on the *left* (preserved) side of
+    a left outer join. When the right side has a hot key, the join is written as
 
         (left INNER JOIN right)  UNION ALL  (left LEFT ANTI JOIN distinct right keys) + NULLs
 
-    The inner join lets AQE split a hot key on either side; the anti join only sees the
-    right side's distinct keys, which are partially aggregated before the shuffle, so a key
-    with millions of right rows costs one row there. Broadcast choices stay with AQE, which
-    checks the runtime size of each side against the broadcast threshold.
+    The inner join lets AQE split the hot key's partition and replicate the matching left
+    rows; the anti join sees only the right side's distinct keys. ``skew_safe="auto"``
+    (default) takes this form only when some right key has more than ``hot_key_rows`` rows
+    (session conf ``clickmodel.join.hotKeyRows``, default 1,000,000), measured by one
+    key-only aggregate; otherwise the plain join is used, so the left input is planned once.
+    Broadcast choices stay with AQE, which checks each side's runtime size against the
+    broadcast threshold.
     """
+    if skew_safe == "auto":
+        skew_safe = _skewed(right, key, hot_key_rows)
     if not skew_safe:
         return left.join(right, on=key, how="left")
     inner = left.join(right, on=key, how="inner")

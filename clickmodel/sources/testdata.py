@@ -28,6 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has task slots.
+
+    A small single-file table (one Parquet row group) scans as one task, which would run all
+    the per-row work downstream on one core. Large inputs already have many splits and are
+    returned untouched, so no shuffle is added at scale.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def _case(expr: Column, mapping: dict, default=None) -> Column:
     out = None
     for k, v in mapping.items():
@@ -57,7 +68,8 @@ def user_days(events: DataFrame) -> DataFrame:
 def items_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_id, items): the line items of each order, in line-number order (ties broken by
     the item fields, so the array is deterministic)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                                        "l_extendedprice"))
     item = F.struct(F.col("l_partkey").cast("string").alias("item_id"),
                     F.col("l_quantity").cast("long").alias("quantity"),
                     F.col("l_extendedprice").alias("price"))
@@ -68,7 +80,7 @@ def items_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str, with_items: bool = True, duplicates: bool = True) -> DataFrame:
     """Raw daily export rows (schema ``clickmodel.schema.RAW_EVENT``)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     n_pages = pages.select(F.count(F.lit(1))).scalar()
     eid, uid = F.col("event_id"), F.col("user_id")

@@ -97,8 +97,16 @@ def test_left_join_skew_safe_matches_plain(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, l int")
     right = spark.createDataFrame([("a", "x")] * 50 + [("b", "y"), ("b", "z"), (None, "n")], "k string, r string")
     plain = sorted(map(tuple, left.join(right, "k", "left").collect()), key=str)
-    safe = sorted(map(tuple, left_join(left, right, "k").select("k", "l", "r").collect()), key=str)
-    assert plain == safe
+    for mode in (True, False, "auto"):
+        got = sorted(map(tuple, left_join(left, right, "k", skew_safe=mode).select("k", "l", "r").collect()), key=str)
+        assert got == plain
+    # "auto" switches to the split form once a key passes the hot-key threshold
+    from clickmodel.operators.joins import max_rows_per_key
+    assert max_rows_per_key(right, "k") == 50
+    hot = left_join(left, right, "k", hot_key_rows=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in hot and "LeftAnti" in hot
+    cold = left_join(left, right, "k", hot_key_rows=100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in cold
 
 
 def test_gclid_attribution_rules(spark):
