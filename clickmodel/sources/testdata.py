@@ -19,13 +19,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmodel.functions.keys import hash_key
-from clickmodel.schema import ITEM, ITEMS
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver's read-only table; one file listing/footer read per application."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -39,18 +45,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
-def _case(expr: Column, mapping: dict, default=None) -> Column:
-    out = None
-    for k, v in mapping.items():
-        out = (F.when(expr == k, F.lit(v)) if out is None else out.when(expr == k, F.lit(v)))
-    return out.otherwise(F.lit(default)) if default is not None else out
+def _case(expr: str, mapping: dict, default: str | None = None) -> str:
+    """SQL ``CASE`` over literal values (fixture rules are written as SQL text: one JVM call
+    per column instead of one per sub-expression)."""
+    whens = " ".join(f"WHEN {expr} = {k} THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {whens}{f' ELSE {default}' if default else ''} END"
 
 
-def _param(key: str, s: Column | None = None, i: Column | None = None, present: Column | None = None) -> Column:
-    k = F.lit(key) if present is None else F.when(present, F.lit(key))
-    sv = (s if s is not None else F.lit(None)).cast("string")
-    iv = (i if i is not None else F.lit(None)).cast("long")
-    return F.struct(k.alias("key"), F.struct(sv.alias("string_value"), iv.alias("int_value")).alias("value"))
+def _param(key: str, s: str = "NULL", i: str = "NULL", present: str | None = None) -> str:
+    k = f"'{key}'" if present is None else f"CASE WHEN {present} THEN '{key}' END"
+    return (f"named_struct('key', {k}, 'value', named_struct('string_value', CAST({s} AS STRING), "
+            f"'int_value', CAST({i} AS BIGINT)))")
 
 
 def day_number(ts: str = "ts") -> Column:
@@ -78,115 +83,125 @@ def items_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.select(F.col("l_orderkey").alias("event_id"), F.transform("a", lambda x: x["it"]).alias("items"))
 
 
+NULL_S, NULL_L, NULL_D = "CAST(NULL AS STRING)", "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"
+ITEM_SQL = "STRUCT<item_id: STRING, quantity: BIGINT, price: DOUBLE>"
+
+
+def _raw_columns(with_items: bool) -> list[str]:
+    e, u = "event_id", "user_id"
+    params = ", ".join([
+        _param("page_location", s="loc", present=f"{e} % 40 <> 39"),
+        _param("ga_session_id", i="day"),
+        _param("ga_session_number", i="session_number"),
+        _param("engagement_time_msec", i=f"({e} * 37) % 10000", present=f"{e} % 6 <> 5"),
+        _param("page_title", s="concat('Page ', CAST(page_id AS STRING))"),
+        _param("page_referrer", s="ref", present=f"{e} % 3 <> 0"),
+        _param("source", s=_case(f"{e} % 5", {0: "Google", 1: "bing", 2: "(Direct)"}), present=f"{e} % 5 <> 4"),
+        _param("medium", s=_case(f"{e} % 4", {0: "Organic", 1: "CPC", 2: "referral"}), present=f"{e} % 4 <> 3"),
+        _param("campaign", s=_case(f"{e} % 6", {0: "(organic)", 1: "Spring_Sale", 2: "organic", 3: "(ORGANIC)"}),
+               present=f"{e} % 6 <> 5"),
+        _param("content", s="'Banner_A'", present=f"{e} % 7 = 1"),
+        _param("term", s="'Running Shoes'", present=f"{e} % 9 = 2"),
+        _param("session_engaged", s=_case(f"{e} % 4", {1: "1", 2: "0"}), i=f"CASE WHEN {e} % 4 = 0 THEN 1 END",
+               present=f"{e} % 4 <> 3"),
+        _param("page_title", s="'Duplicate title'", present=f"{e} % 13 = 0"),
+    ])
+    if with_items:
+        items = (f"CASE WHEN {e} % 11 = 0 THEN CAST(array() AS ARRAY<{ITEM_SQL}>) "
+                 f"WHEN {e} % 23 = 0 THEN concat(items, array(CAST(NULL AS {ITEM_SQL}))) ELSE items END")
+    else:
+        items = f"CAST(NULL AS ARRAY<{ITEM_SQL}>)"
+    purchase = "event_type = 'purchase'"
+    return [
+        "date_format(ts, 'yyyyMMdd') AS event_date",
+        f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, ts) AS event_timestamp",
+        "CASE WHEN event_type = 'view' THEN (CASE WHEN event_id % 2 = 0 THEN ' Page View ' ELSE 'page_view' END) "
+        "WHEN event_type = 'signup' THEN 'first_visit' WHEN event_type = 'error' THEN 'session_start' "
+        "ELSE event_type END AS event_name",
+        f"filter(array({params}), x -> x.key IS NOT NULL) AS event_params",
+        f"{NULL_L} AS event_previous_timestamp",
+        f"CASE WHEN {purchase} THEN value END AS event_value_in_usd",
+        f"{e} AS event_bundle_sequence_id",
+        f"{e} % 1000 AS event_server_timestamp_offset",
+        f"CASE WHEN {u} % 5 = 0 THEN concat('u', CAST({u} AS STRING)) END AS user_id",
+        f"concat(CAST({u} AS STRING), '.1704067200') AS user_pseudo_id",
+        f"named_struct('analytics_storage', CAST({u} % 2 AS INT), 'ads_storage', CASE WHEN {u} % 5 <> 0 THEN 1 END, "
+        "'uses_transient_token', 'No') AS privacy_info",
+        f"array({_param('plan', s=f'CASE WHEN {u} % 2 = 0 THEN {chr(39)}free{chr(39)} ELSE {chr(39)}pro{chr(39)} END')})"
+        " AS user_properties",
+        f"1704067200000000 - {u} * 1000000 AS user_first_touch_timestamp",
+        f"named_struct('revenue', CAST({u} AS DOUBLE) * CAST(0.5 AS DOUBLE), 'currency', 'USD') AS user_ltv",
+        "named_struct("
+        f"'category', {_case(f'{u} % 3', {0: 'desktop', 1: 'mobile', 2: 'tablet'})}, "
+        f"'mobile_brand_name', {_case(f'{u} % 3', {1: 'Apple', 2: 'Samsung'})}, "
+        f"'mobile_model_name', {_case(f'{u} % 3', {1: 'iPhone', 2: 'Galaxy Tab'})}, "
+        f"'mobile_marketing_name', {NULL_S}, 'mobile_os_hardware_model', {NULL_L}, "
+        f"'operating_system', {_case(f'{u} % 3', {0: 'Windows', 1: 'iOS', 2: 'Android'})}, "
+        f"'operating_system_version', concat('v', CAST({u} % 10 AS STRING)), "
+        f"'vendor_id', {NULL_L}, 'advertising_id', {NULL_L}, "
+        f"'language', {_case(f'{u} % 4', {0: 'en-us', 1: 'fr-fr', 2: 'de-de', 3: 'es-es'})}, "
+        f"'is_limited_ad_tracking', 'No', 'time_zone_offset_seconds', {NULL_L}) AS device",
+        "named_struct("
+        f"'continent', {_case(f'{u} % 3', {0: 'Americas', 1: 'Europe', 2: 'Asia'})}, "
+        f"'country', {_case(f'{u} % 4', {0: 'United States', 1: 'France', 2: 'Germany', 3: 'Japan'})}, "
+        f"'region', concat('R', CAST({u} % 7 AS STRING)), 'city', concat('City ', CAST({u} % 11 AS STRING)), "
+        f"'sub_continent', {NULL_S}, 'metro', '(not set)') AS geo",
+        f"named_struct('id', {NULL_S}, 'version', {NULL_S}, 'install_store', {NULL_S}, 'firebase_app_id', {NULL_S}, "
+        f"'install_source', {NULL_S}) AS app_info",
+        "named_struct("
+        f"'name', {_case(f'{u} % 3', {0: '(direct)', 1: 'spring_sale', 2: '(organic)'})}, "
+        f"'medium', {_case(f'{u} % 3', {0: '(none)', 1: 'cpc', 2: 'organic'})}, "
+        f"'source', {_case(f'{u} % 3', {0: '(direct)', 1: 'google', 2: 'google'})}) AS traffic_source",
+        f"1000 + {u} % 3 AS stream_id",
+        "'WEB' AS platform",
+        f"CASE WHEN {purchase} THEN named_struct('total_item_quantity', {e} % 5 + 1, "
+        "'purchase_revenue_in_usd', value, 'purchase_revenue', value, "
+        f"'refund_value_in_usd', {NULL_D}, 'refund_value', {NULL_D}, 'shipping_value_in_usd', CAST(0.0 AS DOUBLE), "
+        f"'shipping_value', CAST(0.0 AS DOUBLE), 'tax_value_in_usd', {NULL_D}, 'tax_value', {NULL_D}, "
+        f"'unique_items', {e} % 3 + 1, 'transaction_id', concat('T', CAST({e} AS STRING))) END AS ecommerce",
+        f"{items} AS items",
+    ]
+
+
 def raw_events(spark: SparkSession, sf_dir: str, with_items: bool = True, duplicates: bool = True) -> DataFrame:
     """Raw daily export rows (schema ``clickmodel.schema.RAW_EVENT``)."""
     ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     n_pages = pages.select(F.count(F.lit(1))).scalar()
-    eid, uid = F.col("event_id"), F.col("user_id")
 
-    e = (ev.withColumn("day", day_number()).withColumn("page_id", eid % n_pages)
+    e = (ev.withColumn("day", day_number()).withColumn("page_id", F.col("event_id") % n_pages)
          .join(pages, "page_id", "left")
          .join(user_days(ev), ["user_id", "day"], "left"))
     if with_items:
         e = e.join(items_by_order(spark, sf_dir), "event_id", "left")
-
-    url = F.when(eid % 50 == 25, F.concat(F.col("url"), F.lit("/my page"))).otherwise(F.col("url"))
-    url = F.when(eid % 7 == 0, F.concat(url, F.when(F.instr(url, "?") > 0, F.lit("&")).otherwise(F.lit("?")),
-                                        F.lit("gclid="), eid.cast("string"))).otherwise(url)
-    ref = F.concat(F.lit("https://ref.example.com/p"), (eid % 17).cast("string"),
-                   F.when(eid % 5 == 0, F.lit("?utm_source=news&parameter=x")).otherwise(F.lit("")))
-    m = lambda k: eid % k
-    params = F.filter(F.array(
-        _param("page_location", s=url, present=m(40) != 39),
-        _param("ga_session_id", i=F.col("day")),
-        _param("ga_session_number", i=F.col("session_number")),
-        _param("engagement_time_msec", i=(eid * 37) % 10000, present=m(6) != 5),
-        _param("page_title", s=F.concat(F.lit("Page "), F.col("page_id").cast("string"))),
-        _param("page_referrer", s=ref, present=m(3) != 0),
-        _param("source", s=_case(m(5), {0: "Google", 1: "bing", 2: "(Direct)"}), present=m(5) != 4),
-        _param("medium", s=_case(m(4), {0: "Organic", 1: "CPC", 2: "referral"}), present=m(4) != 3),
-        _param("campaign", s=_case(m(6), {0: "(organic)", 1: "Spring_Sale", 2: "organic", 3: "(ORGANIC)"}),
-               present=m(6) != 5),
-        _param("content", s=F.lit("Banner_A"), present=m(7) == 1),
-        _param("term", s=F.lit("Running Shoes"), present=m(9) == 2),
-        _param("session_engaged", s=_case(m(4), {1: "1", 2: "0"}), i=F.when(m(4) == 0, F.lit(1)),
-               present=m(4) != 3),
-        _param("page_title", s=F.lit("Duplicate title"), present=m(13) == 0),
-    ), lambda x: x["key"].isNotNull())
-
-    u = lambda k: uid % k
-    purchase = F.col("event_type") == "purchase"
-    ecommerce = F.when(purchase, F.struct(
-        (eid % 5 + 1).alias("total_item_quantity"), F.col("value").alias("purchase_revenue_in_usd"),
-        F.col("value").alias("purchase_revenue"), F.lit(None).cast("double").alias("refund_value_in_usd"),
-        F.lit(None).cast("double").alias("refund_value"), F.lit(0.0).alias("shipping_value_in_usd"),
-        F.lit(0.0).alias("shipping_value"), F.lit(None).cast("double").alias("tax_value_in_usd"),
-        F.lit(None).cast("double").alias("tax_value"), (eid % 3 + 1).alias("unique_items"),
-        F.concat(F.lit("T"), eid.cast("string")).alias("transaction_id")))
-    if with_items:
-        items = (F.when(eid % 11 == 0, F.array().cast(ITEMS))
-                 .when(eid % 23 == 0, F.concat(F.col("items"), F.array(F.lit(None).cast(ITEM))))
-                 .otherwise(F.col("items")))
-    else:
-        items = F.lit(None).cast(ITEMS)
-    name = (F.when(F.col("event_type") == "view",
-                   F.when(eid % 2 == 0, F.lit(" Page View ")).otherwise(F.lit("page_view")))
-            .when(F.col("event_type") == "signup", F.lit("first_visit"))
-            .when(F.col("event_type") == "error", F.lit("session_start"))
-            .otherwise(F.col("event_type")))
-    null_s, null_l = F.lit(None).cast("string"), F.lit(None).cast("long")
-
-    out = e.select(
-        F.date_format("ts", "yyyyMMdd").alias("event_date"),
-        F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, ts)").alias("event_timestamp"),
-        name.alias("event_name"),
-        params.alias("event_params"),
-        null_l.alias("event_previous_timestamp"),
-        F.when(purchase, F.col("value")).alias("event_value_in_usd"),
-        eid.alias("event_bundle_sequence_id"),
-        (eid % 1000).alias("event_server_timestamp_offset"),
-        F.when(u(5) == 0, F.concat(F.lit("u"), uid.cast("string"))).alias("user_id"),
-        F.concat(uid.cast("string"), F.lit(".1704067200")).alias("user_pseudo_id"),
-        F.struct(u(2).cast("int").alias("analytics_storage"),
-                 F.when(u(5) != 0, F.lit(1)).alias("ads_storage"),
-                 F.lit("No").alias("uses_transient_token")).alias("privacy_info"),
-        F.array(_param("plan", s=F.when(u(2) == 0, F.lit("free")).otherwise(F.lit("pro")))).alias("user_properties"),
-        (F.lit(1704067200000000) - uid * 1000000).alias("user_first_touch_timestamp"),
-        F.struct((uid.cast("double") * F.lit(0.5)).alias("revenue"), F.lit("USD").alias("currency")).alias("user_ltv"),
-        F.struct(_case(u(3), {0: "desktop", 1: "mobile", 2: "tablet"}).alias("category"),
-                 _case(u(3), {1: "Apple", 2: "Samsung"}).alias("mobile_brand_name"),
-                 _case(u(3), {1: "iPhone", 2: "Galaxy Tab"}).alias("mobile_model_name"),
-                 null_s.alias("mobile_marketing_name"), null_l.alias("mobile_os_hardware_model"),
-                 _case(u(3), {0: "Windows", 1: "iOS", 2: "Android"}).alias("operating_system"),
-                 F.concat(F.lit("v"), u(10).cast("string")).alias("operating_system_version"),
-                 null_l.alias("vendor_id"), null_l.alias("advertising_id"),
-                 _case(u(4), {0: "en-us", 1: "fr-fr", 2: "de-de", 3: "es-es"}).alias("language"),
-                 F.lit("No").alias("is_limited_ad_tracking"), null_l.alias("time_zone_offset_seconds")
-                 ).alias("device"),
-        F.struct(_case(u(3), {0: "Americas", 1: "Europe", 2: "Asia"}).alias("continent"),
-                 _case(u(4), {0: "United States", 1: "France", 2: "Germany", 3: "Japan"}).alias("country"),
-                 F.concat(F.lit("R"), u(7).cast("string")).alias("region"),
-                 F.concat(F.lit("City "), u(11).cast("string")).alias("city"),
-                 null_s.alias("sub_continent"), F.lit("(not set)").alias("metro")).alias("geo"),
-        F.struct(*[null_s.alias(n) for n in ("id", "version", "install_store", "firebase_app_id",
-                                             "install_source")]).alias("app_info"),
-        F.struct(_case(u(3), {0: "(direct)", 1: "spring_sale", 2: "(organic)"}).alias("name"),
-                 _case(u(3), {0: "(none)", 1: "cpc", 2: "organic"}).alias("medium"),
-                 _case(u(3), {0: "(direct)", 1: "google", 2: "google"}).alias("source")).alias("traffic_source"),
-        (F.lit(1000) + u(3)).alias("stream_id"),
-        F.lit("WEB").alias("platform"),
-        ecommerce.alias("ecommerce"),
-        items.alias("items"),
-    )
+    e = e.selectExpr(
+        "*",
+        "CASE WHEN event_id % 50 = 25 THEN concat(url, '/my page') ELSE url END AS url1",
+        "concat('https://ref.example.com/p', CAST(event_id % 17 AS STRING), "
+        "CASE WHEN event_id % 5 = 0 THEN '?utm_source=news&parameter=x' ELSE '' END) AS ref")
+    e = e.selectExpr("*", "CASE WHEN event_id % 7 = 0 THEN concat(url1, CASE WHEN instr(url1, '?') > 0 THEN '&' "
+                          "ELSE '?' END, 'gclid=', CAST(event_id AS STRING)) ELSE url1 END AS loc")
+    out = e.selectExpr(*_raw_columns(with_items))
     if duplicates:
         # Every 10th event is delivered twice (exact copy), without a second scan.
-        copies = F.when(F.col("event_bundle_sequence_id") % 10 == 0, F.array(F.lit(1), F.lit(2))) \
-            .otherwise(F.array(F.lit(1)))
-        out = out.withColumn("__copy", F.explode(copies)).drop("__copy")
+        out = out.withColumn("__copy", F.explode(F.expr(
+            "CASE WHEN event_bundle_sequence_id % 10 = 0 THEN array(1, 2) ELSE array(1) END"))).drop("__copy")
     return out
 
 
+def _case_col(expr: Column, mapping: dict) -> Column:
+    out = None
+    for k, v in mapping.items():
+        out = F.when(expr == k, F.lit(v)) if out is None else out.when(expr == k, F.lit(v))
+    return out
+
+
+def _param_col(key: str, s: Column) -> Column:
+    return F.struct(F.lit(key).alias("key"),
+                    F.struct(s.cast("string").alias("string_value"), F.lit(None).cast("long").alias("int_value"))
+                    .alias("value"))
+
+
 def session_key_of(user_id: str = "user_id", day: str = "day") -> Column:
     """Session key of a (user, day) session under the mapping above (same rules as staging)."""
     pseudo = F.concat(F.col(user_id).cast("string"), F.lit(".1704067200"))
@@ -201,8 +216,8 @@ def traffic_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions = ev.select("user_id", day_number().alias("day")).distinct()
     return sessions.select(
         session_key_of().alias("session_key"),
-        _case(u, {0: "google", 1: "bing", 2: "direct"}).alias("session_source"),
-        _case(u, {0: "cpc", 1: "organic", 2: "(none)"}).alias("session_medium"),
+        _case_col(u, {0: "google", 1: "bing", 2: "direct"}).alias("session_source"),
+        _case_col(u, {0: "cpc", 1: "organic", 2: "(none)"}).alias("session_medium"),
         F.concat(F.lit("camp_"), (F.col("user_id") % 4).cast("string")).alias("session_campaign"))
 
 
@@ -226,13 +241,13 @@ def user_snapshot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                  (F.lit(1704067200000000) - k * 1000000).alias("user_first_touch_timestamp_micros"),
                  F.when(k % 3 != 0, F.concat(F.lit("2024-01-"), F.lpad((k % 28 + 1).cast("string"), 2, "0")))
                  .alias("first_purchase_date")).alias("user_info"),
-        F.struct(_case(k % 3, {0: "Windows", 1: "iOS", 2: "Android"}).alias("operating_system"),
+        F.struct(_case_col(k % 3, {0: "Windows", 1: "iOS", 2: "Android"}).alias("operating_system"),
                  F.lower(F.col("c_mktsegment")).alias("category"),
-                 _case(k % 3, {1: "Apple", 2: "Google"}).alias("mobile_brand_name"),
-                 _case(k % 3, {1: "iPhone", 2: "Pixel"}).alias("mobile_model_name"),
+                 _case_col(k % 3, {1: "Apple", 2: "Google"}).alias("mobile_brand_name"),
+                 _case_col(k % 3, {1: "iPhone", 2: "Pixel"}).alias("mobile_model_name"),
                  F.concat(F.lit("screen_"), (k % 5).cast("string")).alias("unified_screen_name")).alias("device"),
         F.struct(F.concat(F.lit("City "), (k % 50).cast("string")).alias("city"), F.col("n_name").alias("country"),
-                 _case(F.col("n_regionkey"), {0: "Africa", 1: "Americas", 2: "Asia", 3: "Europe", 4: "Middle East"})
+                 _case_col(F.col("n_regionkey"), {0: "Africa", 1: "Americas", 2: "Asia", 3: "Europe", 4: "Middle East"})
                  .alias("continent"),
                  F.col("n_regionkey").cast("string").alias("region")).alias("geo"),
         F.struct(F.col("c_acctbal").alias("revenue_in_usd"), (k % 20).alias("sessions"),
@@ -245,7 +260,7 @@ def user_snapshot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.when(k % 3 != 0, F.lit("Yes")).alias("is_ads_personalization_allowed")).alias("privacy_info"),
         F.when(k % 97 == 0, F.lit("2024-13-45")).otherwise(day_text).alias("occurrence_date"),
         F.lit("20240131").alias("last_updated_date"),
-        F.array(_param("segment", s=F.col("c_mktsegment"))).alias("user_properties"),
+        F.array(_param_col("segment", s=F.col("c_mktsegment"))).alias("user_properties"),
         F.array(F.struct(F.col("c_nationkey").cast("long").alias("id"), F.col("n_name").alias("name")))
         .alias("audiences"),
     )
