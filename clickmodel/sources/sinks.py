@@ -22,7 +22,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, keep_copy: s
      .partitionBy(partition_col).parquet(path))
 
 
-def load_warehouse(df: DataFrame, url: str | None = None, table: str = "stg_ga4_events",
+def load_warehouse(df: DataFrame, url: str | None = None, table: str = "staged_events",
                    properties: dict | None = None, path: str | None = None, fmt: str = "csv") -> None:
     """Full-refresh load of the serving projection.
 
