@@ -50,3 +50,16 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "session_key" in df.columns
+
+
+@pytest.mark.parametrize("name", ["select_source", "dedup_events", "plan_dates", "sessions_dim"])
+def test_results_independent_of_session_time_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        got = _digest(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    rel = con.sql(E.oracle_sql()[name])
+    assert got == _digest(rel.columns, rel.fetchall())
