@@ -1,7 +1,7 @@
 """Event-parameter access on ``array<struct<key, value: struct<string_value, int_value, ...>>>``.
 
-Lookups use higher-order functions on the array itself: no explode, no row id, no join,
-so they run inside the scan's codegen stage with zero shuffles.
+Lookups work on the row's own array: no explode, no row id, no join, so they run inside the
+scan's stage with zero shuffles.
 """
 
 from __future__ import annotations
@@ -17,16 +17,19 @@ def _sql_literal(v: str) -> str:
 
 
 def param_entry(params: str | Column, key: str) -> Column:
-    """First entry with ``key`` (NULL when absent); duplicate keys never raise."""
+    """First entry with ``key`` (NULL when absent or when the array is NULL); duplicate keys
+    never raise. ``array_position`` over the array's ``key`` field finds it without a lambda,
+    so the lookup stays in generated code."""
     if isinstance(params, str) and params.isidentifier():
         # same expression as SQL text: one call to the JVM instead of one per node
-        return F.expr(f"get(filter(`{params}`, x -> x.key = {_sql_literal(key)}), 0)")
-    return F.get(F.filter(as_col(params), lambda x: x["key"] == F.lit(key)), 0)
+        return F.expr(f"get(`{params}`, array_position(`{params}`.key, {_sql_literal(key)}) - 1)")
+    arr = as_col(params)
+    return F.get(arr, F.array_position(arr["key"], F.lit(key)) - 1)
 
 
 def param_value(params: str | Column, key: str, field: str = "string_value") -> Column:
     if isinstance(params, str) and params.isidentifier() and field.isidentifier():
-        return F.expr(f"get(filter(`{params}`, x -> x.key = {_sql_literal(key)}), 0).value.`{field}`")
+        return F.expr(f"get(`{params}`, array_position(`{params}`.key, {_sql_literal(key)}) - 1).value.`{field}`")
     return param_entry(params, key)["value"][field]
 
 
