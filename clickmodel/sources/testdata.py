@@ -28,9 +28,13 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's read-only table; one file listing/footer read per application."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    try:
+        key = (spark.sparkContext.applicationId, path)
+    except Exception:  # sessions without a local SparkContext (Spark Connect): no memo
+        return spark.read.parquet(path)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(key[1])
+        _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
 
 
@@ -41,8 +45,12 @@ def spread(df: DataFrame) -> DataFrame:
     the per-row work downstream on one core. Large inputs already have many splits and are
     returned untouched, so no shuffle is added at scale.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view of the plan; leave the scan as it is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def _case(expr: str, mapping: dict, default: str | None = None) -> str:

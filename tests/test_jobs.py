@@ -100,3 +100,30 @@ def test_streaming_matches_batch(spark, tmp_dir):
     q2 = stream_base_events(spark, raw_dir, f"{tmp_dir}/sbase", checkpoint=f"{tmp_dir}/ckpt")
     q2.awaitTermination(300)                           # nothing new landed: same output
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/sbase").select(*cols).collect())) == s
+
+
+def test_bad_dates_are_quarantined_not_partitioned(spark, tmp_dir):
+    raw_dir = f"{tmp_dir}/raw"
+    _land(spark, raw_dir, days=DAYS[:1])
+    # a second export for day 2 whose rows carry a malformed event_date
+    raw = TD.raw_events(spark, SF_SMALL, with_items=False).where(F.col("event_date") == "20240102")
+    raw.withColumn("event_date", F.lit("2024-01-02")).coalesce(1).write.parquet(f"{raw_dir}/{raw_file_name(DAYS[1])}")
+    rep = run_base(spark, raw_dir, f"{tmp_dir}/base", quarantine_prefix=f"{tmp_dir}/quarantine")
+    assert {(r.date, r.written) for r in rep.collect()} == {(DAYS[0], True), (DAYS[1], False)}
+    assert _dates(list_partition_dates(spark, f"{tmp_dir}/base")) == DAYS[:1]
+    assert spark.read.parquet(f"{tmp_dir}/quarantine").count() == raw.count()
+
+
+def test_session_with_only_boundary_events_has_no_row(spark):
+    from clickmodel.operators.sessions import build_sessions
+    from clickmodel.operators.staging import stage_events
+    from clickmodel.operators.base import base_events
+    from clickmodel.operators.dedup import dedup_events
+    staged = stage_events(dedup_events(base_events(TD.raw_events(spark, SF_SMALL, with_items=False))))
+    names = staged.groupBy("session_key").agg(F.collect_set("event_name").alias("names"))
+    only_boundary = names.where(F.array_size(F.array_except("names", F.array(F.lit("first_visit"),
+                                                                              F.lit("session_start")))) == 0)
+    sessions = build_sessions(staged)
+    assert only_boundary.count() > 0
+    assert only_boundary.join(sessions, "session_key", "left_semi").count() == 0
+    assert sessions.count() == names.count() - only_boundary.count()

@@ -57,3 +57,17 @@ def test_left_join_plan_has_no_broadcast_of_unbounded_side_by_hint(spark):
     b = spark.range(50).withColumn("k", F.col("id").cast("string")).withColumnRenamed("id", "v")
     plan = left_join(a, b, "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "BROADCAST" not in plan.upper().replace("BROADCASTHASHJOIN", "")
+
+
+def test_first_event_per_session_limits_before_shuffle(spark):
+    from clickmodel.operators.sessions import first_event_per_session
+    # one session holds a third of the rows
+    df = spark.range(30000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS session_key",
+                                       "id AS event_timestamp", "CAST(id AS STRING) AS event_key").repartition(8)
+    out = first_event_per_session(df)
+    p = _plan(out)
+    # partial limit below the exchange, final limit above it
+    assert p.count("WindowGroupLimit") == 2
+    assert p.index("Exchange hashpartitioning(session_key") < p.rindex("WindowGroupLimit")
+    rows = {r.session_key: r.event_timestamp for r in out.collect()}
+    assert rows["hot"] == 0 and len(rows) == 20001
