@@ -54,21 +54,50 @@ def list_partition_dates(spark: SparkSession, prefix: str, column: str = "event_
     return p.select(F.try_to_date(v, "yyyy-MM-dd").alias("date")).where(F.col("date").isNotNull()).distinct()
 
 
-def read_days(spark: SparkSession, prefix: str, days: Iterable[dt.date], schema: T.StructType | None = RAW_EVENT
-              ) -> DataFrame:
-    """One scan over the daily export files of ``days`` with a declared schema, so a day
-    missing a column (or nested field) reads it as NULL and the plan does not grow with days."""
+def read_days(spark: SparkSession, prefix: str, days: Iterable[dt.date], schema: T.StructType | None = RAW_EVENT,
+              tolerant: bool = False) -> DataFrame:
+    """The daily export files of ``days``.
+
+    Default: one scan with the declared schema, so a day missing a column (or nested field)
+    reads it as NULL and the plan does not grow with the number of days. ``tolerant=True``
+    is for exports whose column *types* drift between days (which a single declared-schema
+    scan cannot read): each day is read with its own schema, conformed, and unioned.
+    """
     paths = [f"{prefix.rstrip('/')}/{raw_file_name(d)}" for d in days]
     if not paths:
         return spark.createDataFrame([], schema or RAW_EVENT)
+    if tolerant:
+        return union_days([spark.read.parquet(p) for p in paths], schema)
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(*paths)
 
 
-def union_days(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by column name; columns missing from some frames are filled with NULL."""
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Shape ``df`` to ``schema``: missing columns become typed NULLs, atomic columns whose type
+    drifted are ``try_cast`` (a value that does not fit becomes NULL instead of failing the job).
+    Nested columns are passed through; ``unionByName`` fills their missing fields."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for f in schema.fields:
+        if f.name not in have:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif have[f.name] != f.dataType and not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            c = F.col(f.name)
+            if isinstance(have[f.name], (T.StructType, T.ArrayType, T.MapType)):
+                c = F.to_json(c)
+            cols.append(c.try_cast(f.dataType).alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+def union_days(frames: Sequence[DataFrame], schema: T.StructType | None = None) -> DataFrame:
+    """Union by column name; columns missing from some frames are filled with NULL. With a
+    ``schema``, each frame is first conformed to it (see ``conform``)."""
+    if schema is not None:
+        frames = [conform(f, schema) for f in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

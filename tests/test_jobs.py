@@ -127,3 +127,17 @@ def test_session_with_only_boundary_events_has_no_row(spark):
     assert only_boundary.count() > 0
     assert only_boundary.join(sessions, "session_key", "left_semi").count() == 0
     assert sessions.count() == names.count() - only_boundary.count()
+
+
+def test_union_days_conforms_drifting_types(spark):
+    from clickmodel.sources.files import union_days
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("stream_id", T.LongType()), T.StructField("platform", T.StringType()),
+                           T.StructField("geo", T.StructType([T.StructField("city", T.StringType()),
+                                                              T.StructField("country", T.StringType())]))])
+    a = spark.createDataFrame([(1, "WEB", ("Paris", "France"))],
+                              "stream_id bigint, platform string, geo struct<city:string,country:string>")
+    b = spark.createDataFrame([("2", ("Rome",)), ("x", None)], "stream_id string, geo struct<city:string>")
+    got = sorted(map(tuple, union_days([a, b], schema).select("stream_id", "platform", "geo.city",
+                                                             "geo.country").collect()), key=str)
+    assert got == sorted([(1, "WEB", "Paris", "France"), (2, None, "Rome", None), (None, None, None, None)], key=str)
