@@ -1,7 +1,8 @@
 """Benchmark: the three jobs over landed daily files, plus headline registered queries.
 
 Prints one JSON line: {"metric", "value" (sum of per-query medians, sec), "unit", "queries", "sf", ...}.
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 3).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 3),
+BENCH_SHUFFLE_PARTITIONS (default: 2 x BENCH_CPUS; AQE coalesces further).
 Setup (landing the raw day files from the driver tables) and one warm-up run per query are not timed;
 query times include building the plan on the driver.
 """
@@ -57,7 +58,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = local_session(cpus, shuffle_partitions=max(2 * cpus, 8), app="clickmodel-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(2 * cpus, 8))))
+    spark = local_session(cpus, shuffle_partitions=parts, app="clickmodel-bench")
     scratch = tempfile.mkdtemp(prefix="clickmodel-bench-")
     n_days = land_raw(spark, sf_dir, f"{scratch}/raw")
     TD.traffic_sources(spark, sf_dir).write.mode("overwrite").parquet(f"{scratch}/traffic")

@@ -48,8 +48,7 @@ def _staged(spark, d, items=False, dedup=True):
 
 
 def _sessions(spark, d):
-    s = SS.session_start(SS.first_event_per_session(SS.drop_boundary_events(_staged(spark, d))))
-    return s
+    return SS.session_start(SS.first_event_per_session(SS.drop_boundary_events(_staged(spark, d))))
 
 
 def _ds(c: str) -> F.Column:
@@ -154,11 +153,6 @@ def q_select_source(spark, d):
     return s.select(F.col(ID).alias("event_id"), _ds("event_date_dt"), *SOURCE_SCALARS)
 
 
-def _flat_scalar_cols(df: DataFrame) -> list[str]:
-    skip = {"ecommerce", "items", "event_params", "event_date_dt"}
-    return [c for c in df.columns if c not in skip]
-
-
 FLAT_SCALARS = [
     "event_timestamp", "event_name", "privacy_info_analytics_storage", "privacy_info_ads_storage",
     "privacy_info_uses_transient_token", "user_id", "user_pseudo_id", "user_first_touch_timestamp",
