@@ -33,22 +33,30 @@ def base_model(raw: DataFrame, raw_name_flags: bool = False) -> DataFrame:
 
 
 def run_base(spark: SparkSession, raw_prefix: str, out_prefix: str, start=None, days: int | None = None,
-             as_of=None, raw_name_flags: bool = False, quarantine_prefix: str | None = None) -> DataFrame:
+             as_of=None, raw_name_flags: bool = False, quarantine_prefix: str | None = None,
+             batch_days: int | None = None, tolerant: bool = False) -> DataFrame:
     """Process raw days not yet in ``out_prefix``; returns the plan rows plus ``written``.
 
     The planned dates are metadata (one row per day); they are collected to build the file
-    list for a single declared-schema scan.
+    list for a declared-schema scan. By default all planned days are one job. The dedup
+    shuffle spreads every day over all reduce tasks, so a job writes (tasks x days) files;
+    for large backfills ``batch_days`` runs the days in batches (one distributed job per
+    batch) so each day lands in about one file per task. Each batch overwrites only its own
+    partitions, so an interrupted backfill resumes from the unprocessed days.
+    ``tolerant`` reads exports whose column types drift between days (see ``read_days``).
     """
     plan = plan_dates(list_raw_dates(spark, raw_prefix), list_partition_dates(spark, out_prefix),
                       start=start, days=days, as_of=as_of)
     todo = sorted(r["date"] for r in dates_to_process(plan).collect())
     if not todo:
         return plan.withColumn("written", F.lit(False))
-    raw = read_days(spark, raw_prefix, todo)
-    if quarantine_prefix:
-        from clickmodel.functions.dates import parse_yyyymmdd
-        raw.where(parse_yyyymmdd("event_date").isNull()).write.mode("append").parquet(quarantine_prefix)
-    write_partitioned(base_model(raw, raw_name_flags), out_prefix, "event_date_dt")
+    step = batch_days or len(todo)
+    for i in range(0, len(todo), step):
+        raw = read_days(spark, raw_prefix, todo[i:i + step], tolerant=tolerant)
+        if quarantine_prefix:
+            from clickmodel.functions.dates import parse_yyyymmdd
+            raw.where(parse_yyyymmdd("event_date").isNull()).write.mode("append").parquet(quarantine_prefix)
+        write_partitioned(base_model(raw, raw_name_flags), out_prefix, "event_date_dt")
     written = _written(spark, out_prefix, "event_date_dt", dates_to_process(plan)).withColumn("written", F.lit(True))
     return plan.join(written, "date", "left").fillna({"written": False})
 

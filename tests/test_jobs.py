@@ -63,6 +63,10 @@ def test_base_staging_sessions_end_to_end_and_idempotent(spark, tmp_dir):
     base1 = sorted(map(tuple, spark.read.parquet(base_dir).select("event_date_dt", "event_timestamp",
                                                                    "event_name", "platform").collect()))
     assert any(r[3] is None for r in base1)            # day missing a column reads it as NULL
+    batched = f"{tmp_dir}/base_batched"
+    run_base(spark, raw_dir, batched, batch_days=1)     # one job per day: same rows
+    assert sorted(map(tuple, spark.read.parquet(batched).select("event_date_dt", "event_timestamp", "event_name",
+                                                              "platform").collect())) == base1
     rep2 = run_base(spark, raw_dir, base_dir)          # second run: everything already processed
     assert {r.status for r in rep2.collect()} == {"skip"}
     base2 = sorted(map(tuple, spark.read.parquet(base_dir).select("event_date_dt", "event_timestamp",
