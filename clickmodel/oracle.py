@@ -249,9 +249,15 @@ stg AS (SELECT * EXCLUDE (raw_location),
         FROM u)"""
 
 
+def _fixture_session_key(day: str) -> str:
+    """Session key of a (user, day) session under the fixture mapping."""
+    return hkey(hkey("CAST(user_id AS VARCHAR) || '.1704067200'", "CAST(1000 + user_id % 3 AS VARCHAR)"),
+                f"CAST({day} AS VARCHAR)")
+
+
 def _session_ctes() -> str:
-    traffic_key = hkey(hkey("CAST(user_id AS VARCHAR) || '.1704067200'", "CAST(1000 + user_id % 3 AS VARCHAR)"),
-                       "CAST(day AS VARCHAR)")
+    traffic_key = _fixture_session_key("CASE WHEN user_id % 2 = 0 THEN day ELSE day + 100000 END")
+    derived_key = _fixture_session_key("day")
     return f"""
 first_ev AS (SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY session_key
@@ -273,8 +279,8 @@ traffic AS (SELECT {traffic_key} AS session_key,
     {case('user_id % 3', {0: 'google', 1: 'bing', 2: 'direct'})} AS session_source,
     {case('user_id % 3', {0: 'cpc', 1: 'organic', 2: '(none)'})} AS session_medium,
     'camp_' || CAST(user_id % 4 AS VARCHAR) AS session_campaign
-  FROM (SELECT DISTINCT user_id, {DAY} AS day FROM events WHERE user_id % 2 = 0) t),
-derived AS (SELECT {traffic_key} AS session_key, session_event_count, session_last_event_type
+  FROM (SELECT DISTINCT user_id, {DAY} AS day FROM events) t),
+derived AS (SELECT {derived_key} AS session_key, session_event_count, session_last_event_type
   FROM (SELECT user_id, {DAY} AS day, count(*) AS session_event_count, max(event_type) AS session_last_event_type
         FROM events GROUP BY 1, 2) t)"""
 

@@ -218,12 +218,15 @@ def session_key_of(user_id: str = "user_id", day: str = "day") -> Column:
 
 
 def traffic_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per session of even users (odd users exercise the left join's NULLs)."""
-    ev = table(spark, sf_dir, "events").where(F.col("user_id") % 2 == 0)
+    """One row per (user, day) session of every user. Odd users' rows are keyed to a day far
+    outside the data (day + 100000), so their sessions find no traffic row and exercise the
+    left join's NULLs while every input row still flows through."""
+    ev = table(spark, sf_dir, "events")
     u = F.col("user_id") % 3
     sessions = ev.select("user_id", day_number().alias("day")).distinct()
-    return sessions.select(
-        session_key_of().alias("session_key"),
+    key_day = F.when(F.col("user_id") % 2 == 0, F.col("day")).otherwise(F.col("day") + 100000)
+    return sessions.withColumn("key_day", key_day).select(
+        session_key_of(day="key_day").alias("session_key"),
         _case_col(u, {0: "google", 1: "bing", 2: "direct"}).alias("session_source"),
         _case_col(u, {0: "cpc", 1: "organic", 2: "(none)"}).alias("session_medium"),
         F.concat(F.lit("camp_"), (F.col("user_id") % 4).cast("string")).alias("session_campaign"))
