@@ -145,3 +145,20 @@ def test_union_days_conforms_drifting_types(spark):
     got = sorted(map(tuple, union_days([a, b], schema).select("stream_id", "platform", "geo.city",
                                                              "geo.country").collect()), key=str)
     assert got == sorted([(1, "WEB", "Paris", "France"), (2, None, "Rome", None), (None, None, None, None)], key=str)
+
+
+def test_load_warehouse_file_branch(spark, tmp_dir):
+    import pytest
+    from clickmodel.operators import serving_projection
+    from clickmodel.operators.base import base_events
+    from clickmodel.operators.dedup import dedup_events
+    from clickmodel.operators.staging import stage_events
+    from clickmodel.sources.sinks import load_warehouse
+    served = serving_projection(stage_events(dedup_events(base_events(TD.raw_events(spark, SF_SMALL)))))
+    load_warehouse(served, path=f"{tmp_dir}/serving_csv")
+    back = spark.read.option("header", "true").csv(f"{tmp_dir}/serving_csv")
+    assert back.columns == served.columns and back.count() == served.count()
+    load_warehouse(served, path=f"{tmp_dir}/serving_csv")          # full refresh: replaced, not appended
+    assert spark.read.option("header", "true").csv(f"{tmp_dir}/serving_csv").count() == served.count()
+    with pytest.raises(ValueError):
+        load_warehouse(served)
