@@ -63,3 +63,18 @@ def test_results_independent_of_session_time_zone(spark, con, name):
         spark.conf.set("spark.sql.session.timeZone", before)
     rel = con.sql(E.oracle_sql()[name])
     assert got == _digest(rel.columns, rel.fetchall())
+
+
+SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                   "boolean": "BOOLEAN"}
+
+
+def test_column_types_match_oracle(spark, con):
+    bad = []
+    for name, fn in E.queries().items():
+        spark_types = dict(fn(spark, SF_SMALL).dtypes)
+        rel = con.sql(E.oracle_sql()[name])
+        duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        bad += [(name, c, t, duck_types.get(c)) for c, t in spark_types.items()
+                if SPARK_TO_DUCKDB.get(t, t) != duck_types.get(c)]
+    assert bad == []
