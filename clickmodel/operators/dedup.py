@@ -51,4 +51,6 @@ def dedup_events(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, payload: str =
         tie = _orderable(df, set(keys) | {payload})
     else:
         tie = [F.col(c) for c in order]
-    return first_per_group(df, [*keys, payload], tie)
+    # With no other columns every row of a group is identical; a key column (constant within
+    # the group) satisfies the window's required ordering.
+    return first_per_group(df, [*keys, payload], tie or [F.col(keys[-1])])

@@ -142,3 +142,21 @@ def test_user_snapshot_columns(spark):
     assert "device_unified_sceen_name" in u.columns and len(u.columns) == 28
     assert dict(u.dtypes)["occurrence_date"] == "date"
     assert u.where("occurrence_date is null").count() >= 1   # malformed text -> NULL, job survives
+
+
+def test_dedup_with_hot_copy_group(spark):
+    # one exact event delivered 20,000 times next to 40,000 distinct events (a third of all rows)
+    cols = ("CAST('2024-01-01' AS DATE) AS event_date_dt", "1L AS stream_id", "'u' AS user_pseudo_id",
+            "7L AS session_id", "'page_view' AS event_name")
+    hot = spark.range(20000).selectExpr(*cols, "100L AS event_timestamp",
+                                        "array(named_struct('key', 'k', 'value', named_struct('string_value', 'v', "
+                                        "'int_value', CAST(NULL AS BIGINT)))) AS event_params")
+    rest = spark.range(40000).selectExpr(*cols, "id + 1000 AS event_timestamp",
+                                         "array(named_struct('key', 'k', 'value', named_struct('string_value', 'v', "
+                                         "'int_value', id))) AS event_params")
+    df = hot.unionByName(rest).repartition(8)
+    out = dedup_events(df)
+    assert out.count() == 40001
+    assert out.where("event_timestamp = 100").count() == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
