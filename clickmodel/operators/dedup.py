@@ -33,6 +33,7 @@ def first_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence
     ships at most one row per map task, so the shuffle never carries the group whole.
     """
     rn = "__rn"
+    order = list(order) or [F.col(k) if isinstance(k, str) else k for k in keys[:1]]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
