@@ -23,15 +23,18 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, keep_copy: s
 
 
 def load_warehouse(df: DataFrame, url: str | None = None, table: str = "staged_events",
-                   properties: dict | None = None, path: str | None = None, fmt: str = "csv") -> None:
+                   properties: dict | None = None, path: str | None = None, fmt: str = "csv",
+                   max_connections: int = 8, batch_size: int = 10000) -> None:
     """Full-refresh load of the serving projection.
 
     With a JDBC ``url``: overwrite with ``truncate=true`` (table definition kept, rows
-    replaced), written in parallel by the tasks. Without one: write files (CSV with header by
+    replaced), written in parallel by at most ``max_connections`` tasks (Spark coalesces to
+    that many partitions) in batched inserts. Without one: write files (CSV with header by
     default) for a bulk loader.
     """
     if url:
         (df.write.mode("overwrite").option("truncate", "true")
+         .option("numPartitions", str(max_connections)).option("batchsize", str(batch_size))
          .jdbc(url, table, properties=properties or {}))
     elif path:
         w = df.write.mode("overwrite")
