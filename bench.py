@@ -3,8 +3,8 @@
 Prints one JSON line: {"metric", "value" (sum of per-query medians, sec), "unit", "queries", "sf", ...}.
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 3),
 BENCH_SHUFFLE_PARTITIONS (default: 2 x BENCH_CPUS; AQE coalesces further).
-Setup (landing the raw day files from the driver tables) and one warm-up run per query are not timed;
-query times include building the plan on the driver.
+Setup (landing the raw day files from the driver tables) and one warm-up pass over all items are not
+timed; then ``BENCH_REPEAT`` round-robin passes, median per item. Times include building the plan on the driver.
 """
 
 from __future__ import annotations
@@ -43,17 +43,6 @@ def land_raw(spark, sf_dir: str, root: str) -> int:
     return len(days)
 
 
-def timed(fn, repeat: int) -> float:
-    """Median of ``repeat`` runs after one untimed warm-up run (JIT, file-system caches)."""
-    fn()
-    runs = []
-    for _ in range(repeat):
-        t = time.perf_counter()
-        fn()
-        runs.append(time.perf_counter() - t)
-    return round(statistics.median(runs), 3)
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -65,23 +54,32 @@ def main() -> None:
     TD.traffic_sources(spark, sf_dir).write.mode("overwrite").parquet(f"{scratch}/traffic")
     TD.derived_session_properties(spark, sf_dir).write.mode("overwrite").parquet(f"{scratch}/derived")
 
-    results: dict[str, float] = {}
     run = [0]
 
     def base_job():
         run[0] += 1   # a fresh output folder each time, so every run processes all days
         run_base(spark, f"{scratch}/raw", f"{scratch}/base{run[0]}").collect()
 
-    results["job_base"] = timed(base_job, repeat)
-    base_dir = f"{scratch}/base{run[0]}"
-    results["job_staging"] = timed(lambda: run_staging(spark, base_dir, f"{scratch}/stg").collect(), repeat)
-    results["job_sessions"] = timed(lambda: run_sessions(
-        spark, f"{scratch}/stg", f"{scratch}/traffic", f"{scratch}/ses", derived_prefix=f"{scratch}/derived",
-        join_derived=True).collect(), repeat)
-
     qs = registry.queries()
+    items = {
+        "job_base": base_job,
+        "job_staging": lambda: run_staging(spark, f"{scratch}/base{run[0]}", f"{scratch}/stg").collect(),
+        "job_sessions": lambda: run_sessions(
+            spark, f"{scratch}/stg", f"{scratch}/traffic", f"{scratch}/ses", derived_prefix=f"{scratch}/derived",
+            join_derived=True).collect(),
+    }
     for name in HEADLINE:
-        results[name] = timed(lambda: qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save(), repeat)
+        items[name] = (lambda n: lambda: qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save())(name)
+
+    for fn in items.values():          # warm-up pass (JIT, caches), not timed
+        fn()
+    runs: dict[str, list[float]] = {k: [] for k in items}
+    for _ in range(repeat):            # round-robin passes; the median per item is reported
+        for name, fn in items.items():
+            t = time.perf_counter()
+            fn()
+            runs[name].append(time.perf_counter() - t)
+    results = {k: round(statistics.median(v), 3) for k, v in runs.items()}
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
