@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from clickmodel.functions.dates import parse_yyyymmdd
 from clickmodel.functions.names import clean_event_name
-from clickmodel.operators.items import normalize_items
-from clickmodel.operators.params import extract_params
+from clickmodel.operators.items import normalized_items
+from clickmodel.operators.params import param_columns
 from clickmodel.schema import ECOMMERCE_FIELDS
 
 # Fixed value: constant property id written into every base row.
@@ -80,8 +80,8 @@ def flatten_event(df: DataFrame, raw_name_flags: bool = False, keep_empty_items:
     is not a page view), as the original job did; by default the cleaned name is used.
     ``keep`` carries extra input columns through (e.g. an id for tests).
     """
-    df = normalize_items(df, keep_empty=keep_empty_items)
-    df = extract_params(df)
+    items = normalized_items(df, keep_empty=keep_empty_items)
+    params = param_columns()
     clean = clean_event_name("event_name")
     flag_src = F.col("event_name") if raw_name_flags else clean
     flat = [F.col(f"{s}.{f}").alias(f"{s}_{f}") for s, fields in FLAT_STRUCT_FIELDS[:2] for f in fields]
@@ -94,10 +94,10 @@ def flatten_event(df: DataFrame, raw_name_flags: bool = False, keep_empty_items:
         *[F.col(f"traffic_source.{f}").alias(a) for f, a in TRAFFIC_RENAMES],
         "stream_id", "platform",
         F.struct(*[F.col(n) for n in ECOMMERCE_COLUMNS]).alias("ecommerce"),
-        "items",
-        "session_id", "page_location", "session_number", "engagement_time_msec", "page_title",
-        "page_referrer", "event_source", "event_medium", "event_campaign", "event_content", "event_term",
-        "session_engaged",
+        (F.col("items") if items is None else items).alias("items"),
+        *[params[c].alias(c) for c in ("session_id", "page_location", "session_number", "engagement_time_msec",
+                                       "page_title", "page_referrer", "event_source", "event_medium",
+                                       "event_campaign", "event_content", "event_term", "session_engaged")],
         flag(flag_src, "page_view").alias("is_page_view"),
         flag(flag_src, "purchase").alias("is_purchase"),
         "property_id",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,20 @@ def _item_struct(df: DataFrame, column: str) -> T.StructType | None:
     return f.dataType.elementType if isinstance(f.dataType.elementType, T.StructType) else None
 
 
+def normalized_items(df: DataFrame, column: str = "items", keep_empty: bool = False) -> Column | None:
+    """The normalised ``items`` column expression, or None when the column is missing or not an
+    array of structs (see ``normalize_items``)."""
+    elem = _item_struct(df, column)
+    if elem is None:
+        return None
+    names = [f.name for f in elem.fields]
+    rebuilt = F.transform(F.col(column), lambda x: F.struct(*[x[n].alias(n) for n in names]))
+    if keep_empty:
+        return rebuilt
+    empty_row = F.array(F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in elem.fields]))
+    return F.when(F.coalesce(F.size(F.col(column)) > 0, F.lit(False)), rebuilt).otherwise(empty_row)
+
+
 def normalize_items(df: DataFrame, column: str = "items", keep_empty: bool = False) -> DataFrame:
     """Rebuild each item as a struct of its declared fields, per row, without a shuffle.
 
@@ -21,16 +35,8 @@ def normalize_items(df: DataFrame, column: str = "items", keep_empty: bool = Fal
     (the explode_outer/collect_list contract) unless ``keep_empty`` keeps it as it is.
     No-op when the column is missing or not an array of structs.
     """
-    elem = _item_struct(df, column)
-    if elem is None:
-        return df
-    names = [f.name for f in elem.fields]
-    rebuilt = F.transform(F.col(column), lambda x: F.struct(*[x[n].alias(n) for n in names]))
-    if keep_empty:
-        return df.withColumn(column, rebuilt)
-    empty_row = F.array(F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in elem.fields]))
-    return df.withColumn(column, F.when(F.coalesce(F.size(F.col(column)) > 0, F.lit(False)), rebuilt)
-                         .otherwise(empty_row))
+    c = normalized_items(df, column, keep_empty)
+    return df if c is None else df.withColumn(column, c)
 
 
 def explode_items(df: DataFrame, column: str = "items", alias: str = "item",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmodel.functions.params import param_value, params_map, session_engaged
@@ -45,11 +45,16 @@ def with_params_map(df: DataFrame, column: str = "event_params", alias: str = "p
     return df.withColumn(alias, params_map(column, on_duplicate))
 
 
-def extract_params(df: DataFrame, column: str = "event_params") -> DataFrame:
-    """Add the 11 named parameters plus ``session_engaged``; first occurrence of a key wins."""
+def param_columns(column: str = "event_params") -> dict[str, Column]:
+    """The 11 named parameters plus ``session_engaged``; first occurrence of a key wins."""
     cols = {}
     for out, key, field, lower in EXTRACTED_PARAMS:
         v = param_value(column, key, field)
         cols[out] = F.lower(v) if lower else v
     cols["session_engaged"] = session_engaged(column)
-    return df.withColumns(cols)
+    return cols
+
+
+def extract_params(df: DataFrame, column: str = "event_params") -> DataFrame:
+    """Add the 11 named parameters plus ``session_engaged``."""
+    return df.withColumns(param_columns(column))
