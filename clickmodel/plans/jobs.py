@@ -75,13 +75,13 @@ def run_staging(spark: SparkSession, base_prefix: str, out_prefix: str, start=No
 
 def run_sessions(spark: SparkSession, staged_prefix: str, traffic_prefix: str | None, out_prefix: str,
                  start=None, days: int | None = None, derived_prefix: str | None = None,
-                 join_derived: bool = False) -> DataFrame:
+                 join_derived: bool = False, skew_safe: bool | str = "auto") -> DataFrame:
     """Build the session dimension for the window (start only: that single day)."""
     staged = read_partitioned(spark, staged_prefix)
     traffic = read_partitioned(spark, traffic_prefix) if traffic_prefix else None
     derived = read_partitioned(spark, derived_prefix) if (join_derived and derived_prefix) else None
     sessions = build_sessions(staged, traffic=traffic, derived=derived, start=start, days=days,
-                              join_derived=join_derived)
+                              join_derived=join_derived, skew_safe=skew_safe)
     write_partitioned(sessions, out_prefix, "session_start_date")
     window = date_window(list_partition_dates(spark, staged_prefix).withColumnRenamed("date", "d"), start, days,
                          column="d", start_only="exact").withColumnRenamed("d", "date")
