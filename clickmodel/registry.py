@@ -261,6 +261,15 @@ def q_url_parts(spark, d):
     return _staged(spark, d).select("event_id", "page_path", "page_hostname", "page_query_string")
 
 
+@register("url_parts_encoded", O.with_layers(
+    f"SELECT event_id, {O.url_encode('page_location')} AS page_path, CAST(NULL AS VARCHAR) AS page_hostname, "
+    "CAST(NULL AS VARCHAR) AS page_query_string FROM base", upto="base"))
+def q_url_parts_encoded(spark, d):
+    # the original job parsed the percent-encoded copy: the whole encoded text is the path
+    b = ST.url_parts(_base(spark, d), url_mode="encoded")
+    return b.select("event_id", "page_path", "page_hostname", "page_query_string")
+
+
 @register("query_param_removal", O.with_layers(
     f"SELECT event_id, {O.remove_params('page_location', QUERY_EXCLUSIONS)} AS page_location, "
     f"{O.remove_params('page_referrer', QUERY_EXCLUSIONS)} AS page_referrer FROM base", upto="base"))
