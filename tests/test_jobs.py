@@ -162,3 +162,23 @@ def test_load_warehouse_file_branch(spark, tmp_dir):
     assert spark.read.option("header", "true").csv(f"{tmp_dir}/serving_csv").count() == served.count()
     with pytest.raises(ValueError):
         load_warehouse(served)
+
+
+def test_single_file_exports_and_file_plan_rerun(spark, tmp_dir):
+    import glob
+    import shutil
+    from clickmodel.sources.files import read_days
+    raw_dir = f"{tmp_dir}/raw"
+    _land(spark, raw_dir, days=DAYS[:1])                       # Spark-written directory form
+    day = dt.date(2024, 1, 5)                                  # plain single-file export
+    TD.raw_events(spark, SF_SMALL).where(F.col("event_date") == "20240105").coalesce(1) \
+        .write.parquet(f"{tmp_dir}/one")
+    part = glob.glob(f"{tmp_dir}/one/part-*.parquet")[0]
+    shutil.copyfile(part, f"{raw_dir}/{raw_file_name(day)}")
+    listed = list_raw_dates(spark, raw_dir)
+    assert _dates(listed) == [DAYS[0], day]
+    n = spark.read.parquet(part).count()
+    assert read_days(spark, raw_dir, [day]).count() == n > 0
+    files = listed.select("file_name", "date")
+    landed = listed.select("file_name")
+    assert plan_files(files, landed).count() == 0             # everything landed: rerun plans nothing
