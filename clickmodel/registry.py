@@ -286,6 +286,18 @@ def q_date_window(spark, d):
     return SS.date_window(_staged(spark, d), WINDOW_START, WINDOW_DAYS).select("event_id", _ds("event_date_dt"))
 
 
+BACK_START = "2024-01-20"
+
+
+@register("date_window_back", O.with_layers(
+    "SELECT event_id, CAST(event_date_dt AS VARCHAR) AS event_date_dt FROM stg "
+    f"WHERE event_date_dt BETWEEN DATE '{BACK_START}' - INTERVAL {WINDOW_DAYS - 1} DAY AND DATE '{BACK_START}'"))
+def q_date_window_back(spark, d):
+    # ``days`` counting back from ``start`` (inclusive), as the base job plans days
+    return SS.date_window(_staged(spark, d), BACK_START, WINDOW_DAYS, direction="back") \
+        .select("event_id", _ds("event_date_dt"))
+
+
 @register("date_window_exact", O.with_layers(
     f"SELECT event_id, CAST(event_date_dt AS VARCHAR) AS event_date_dt FROM stg WHERE event_date_dt = DATE '{EXACT_DAY}'"))
 def q_date_window_exact(spark, d):
