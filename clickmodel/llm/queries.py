@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmodel.llm import decontaminate, mixing, rules, tokens
+from clickmodel.llm import decontaminate, mixing, neardup, rules, substring, tokens
 
 REG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -52,6 +52,25 @@ def op3(spark, d):
     return mixing.mix(_table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT r, doc_id, p, array_to_string(ws[p:p + 49], ' ') AS k
+  FROM (SELECT r, doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS p FROM d WHERE len(ws) >= 50)),
+c AS (SELECT r, p FROM (SELECT r, doc_id, p, min(doc_id) OVER (PARTITION BY md5(k)) AS m FROM g) WHERE doc_id > m),
+gone AS (SELECT DISTINCT r, p + o AS p FROM c, (SELECT unnest(generate_series(0, 49)) AS o)),
+w AS (SELECT r, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM w ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
+@register("op4_substring_dedup", OP4_SQL)
+def op4(spark, d):
+    out = substring.remove_repeats(_table(spark, d, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _STOPS = ", ".join(f"'{w}'" for w in sorted(set(rules.STOP_WORDS)))
 OP5_SQL = rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
@@ -120,6 +139,12 @@ def op9(spark, d):
     return tokens.count_tokens(_table(spark, d, "documents"), tokens.fresh_cache(spark), tokenizer_file())
 
 
+@register("op10_near_duplicates")
+def op10(spark, d):
+    out = neardup.near_duplicates(_table(spark, d, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REG.items()}
 
