@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmodel.llm import decontaminate, mixing, neardup, rules, substring, tokens
+from clickmodel.llm import decontaminate, lines, mixing, neardup, rules, substring, tokens
 
 REG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -107,6 +107,30 @@ def op5(spark, d):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+OP7_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, text, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''),
+l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p, len(ls) AS n FROM d),
+h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM l),
+e AS (SELECT *, p = n OR (p >= 2 AND ((lag(h) OVER w * 31) % 1000003 + h) % 1000003 % 4 = 0) AS ends FROM h WINDOW w AS (PARTITION BY r ORDER BY p)),
+k AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM e),
+ch AS (SELECT r, doc_id, c, min(p) AS pos, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS chunk FROM k GROUP BY r, doc_id, c),
+rk AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) AS place FROM ch WHERE n > 1 AND trim(chunk, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''),
+gone AS (SELECT r, c, n FROM rk WHERE place > 1),
+kept AS (SELECT r, string_agg(line, chr(10) ORDER BY p) AS kept FROM k ANTI JOIN gone USING (r, c) GROUP BY r),
+g AS (SELECT r, count(*) AS chunks, sum(n) AS lines FROM gone GROUP BY r)
+SELECT doc_id, len(ls) AS n_lines, coalesce(chunks, 0) AS n_chunks_removed, coalesce(lines, 0)::BIGINT AS n_lines_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN g USING (r)
+UNION ALL SELECT doc_id, 0, 0, 0, sha256('') FROM documents WHERE text IS NULL OR text = ''
+"""
+
+
+@register("op7_line_dedup", OP7_SQL)
+def op7(spark, d):
+    out = lines.without_repeats(_table(spark, d, "documents"))
+    return out.select("doc_id", "n_lines", "n_chunks_removed", "n_lines_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmodel.llm import decontaminate, mixing, queries, rules, scratch
+from clickmodel.llm import decontaminate, lines, mixing, neardup, queries, rules, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +14,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.keep_good(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    queries.ready(spark)
+    return lines.deduplicated(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    queries.ready(spark)
+    return neardup.one_of_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     queries.ready(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -24,7 +34,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("quality rules", quality), ("benchmark decontamination", decontamination), ("mixing", mix)]
+STAGES = [("quality rules", quality), ("line dedup", line_dedup), ("near-dedup", near_dedup), ("benchmark decontamination", decontamination), ("mixing", mix)]
 
 # Learned or iterative stages (near-duplicate candidates, Newton steps) have no SQL form.
 ORACLE_SQL = None
