@@ -81,6 +81,7 @@ class Words:
         first = int(offsets[0]) if len(offsets) else 0
         last = int(offsets[-1]) if len(offsets) else 0
         self.data, at = data[first:last], offsets - first
+        self.byte_counts = np.diff(at)
         inside = ~SPACE[self.data]
         opens, closes = inside.copy(), inside.copy()
         opens[1:] &= ~inside[:-1]

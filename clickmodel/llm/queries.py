@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmodel.llm import decontaminate, lines, mixing, neardup, rules, substring, tokens
+from clickmodel.llm import decontaminate, html, lines, mixing, neardup, quality, rules, substring, tokens
 
 REG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -47,6 +47,14 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+@register("op2_quality_classifier")
+def op2(spark, d):
+    docs = _table(spark, d, "documents")
+    model = quality.fit(docs, _table(spark, d, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 @register("op3_mixing")
 def op3(spark, d):
     return mixing.mix(_table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -107,6 +115,11 @@ def op5(spark, d):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@register("op6_html_text")
+def op6(spark, d):
+    return html.extract_text(_table(spark, d, "pages"))
+
+
 OP7_SQL = """
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, text, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''),
 l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p, len(ls) AS n FROM d),
