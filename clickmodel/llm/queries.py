@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmodel.llm import decontaminate, html, lines, mixing, neardup, quality, rules, substring, tokens
+from clickmodel.llm import decontaminate, html, lines, mixing, neardup, pii, quality, rules, substring, tokens
 
 REG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -47,6 +47,16 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The key of the surrogates; a deployment sets its own in the session."""
+    return spark.conf.get("spark.clickmodel.surrogateKey", "clickmodel").encode()
+
+
+@register("op1_pii_surrogates")
+def op1(spark, d):
+    return pii.pseudonymize(_table(spark, d, "documents"), surrogate_key(spark))
+
+
 @register("op2_quality_classifier")
 def op2(spark, d):
     docs = _table(spark, d, "documents")
