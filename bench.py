@@ -9,7 +9,6 @@ query times include building the plan on the driver.
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 import os
 import re
@@ -20,13 +19,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from clickmodel import registry  # noqa: E402
 from clickmodel.plans.jobs import run_base, run_sessions, run_staging  # noqa: E402
 from clickmodel.session import local_session  # noqa: E402
 from clickmodel.sources import testdata as TD  # noqa: E402
-from clickmodel.sources.files import raw_file_name  # noqa: E402
+from clickmodel.sources.files import raw_days  # noqa: E402
 
 HEADLINE = ["sessions_dim", "serving_projection", "dedup_events", "normalize_items", "unnest_key",
             "extract_params", "first_event_per_session", "unique_violations", "user_snapshot", "plan_dates"]
@@ -34,13 +31,8 @@ HEADLINE = ["sessions_dim", "serving_projection", "dedup_events", "normalize_ite
 
 def land_raw(spark, sf_dir: str, root: str) -> int:
     """Write one export per event day (events_YYYYMMDD.parquet), as the landing zone holds."""
-    raw = TD.raw_events(spark, sf_dir, with_items=True).cache()
-    days = sorted(r.event_date for r in raw.select("event_date").distinct().collect())
-    for d in days:
-        day = dt.datetime.strptime(d, "%Y%m%d").date()
-        raw.where(F.col("event_date") == d).coalesce(1).write.mode("overwrite").parquet(f"{root}/{raw_file_name(day)}")
-    raw.unpersist()
-    return len(days)
+    TD.land_exports(spark, TD.raw_events(spark, sf_dir), root)
+    return len(raw_days(spark, root))
 
 
 def timed(fn, repeat: int) -> float:

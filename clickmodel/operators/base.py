@@ -10,9 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmodel.functions.dates import parse_yyyymmdd
 from clickmodel.functions.names import clean_event_name
+from clickmodel.operators.dedup import DEDUP_KEYS, dedup_events
 from clickmodel.operators.items import normalized_items
 from clickmodel.operators.params import param_columns
 from clickmodel.schema import ECOMMERCE_FIELDS
@@ -30,7 +32,7 @@ SOURCE_COLUMNS = [
 ]
 
 # Nested struct -> flattened column names, in base-table order.
-FLAT_STRUCT_FIELDS = [
+FLAT_STRUCT_FIELDS = dict([
     ("privacy_info", ["analytics_storage", "ads_storage", "uses_transient_token"]),
     ("user_ltv", ["revenue", "currency"]),
     ("device", ["category", "mobile_brand_name", "mobile_model_name", "mobile_marketing_name",
@@ -38,7 +40,11 @@ FLAT_STRUCT_FIELDS = [
                 "advertising_id", "language", "is_limited_ad_tracking", "time_zone_offset_seconds"]),
     ("geo", ["continent", "country", "region", "city", "sub_continent", "metro"]),
     ("app_info", ["id", "version", "install_store", "firebase_app_id", "install_source"]),
-]
+])
+# Members of ``device`` that only some exports have -> base columns.
+OPTIONAL_DEVICE = {"browser": "device_browser", "web_info.browser": "device_web_info_browser",
+                   "web_info.browser_version": "device_web_info_browser_version",
+                   "web_info.hostname": "device_web_info_hostname"}
 # traffic_source describes the user's first acquisition, hence the user_ prefix.
 TRAFFIC_RENAMES = [("name", "user_campaign"), ("medium", "user_medium"), ("source", "user_source")]
 
@@ -66,12 +72,6 @@ def flag(name: Column, value: str) -> Column:
     return F.when(name == value, F.lit(1)).otherwise(F.lit(0))
 
 
-def event_flags(df: DataFrame, name: str = "event_name") -> DataFrame:
-    """``is_page_view`` / ``is_purchase`` as 1/0 from the given name column."""
-    return df.withColumns({"is_page_view": flag(F.col(name), "page_view"),
-                           "is_purchase": flag(F.col(name), "purchase")})
-
-
 def flatten_event(df: DataFrame, raw_name_flags: bool = False, keep_empty_items: bool = False,
                   keep: Sequence[str] = ()) -> DataFrame:
     """Source projection output -> base event columns (57), in base-table order.
@@ -84,13 +84,11 @@ def flatten_event(df: DataFrame, raw_name_flags: bool = False, keep_empty_items:
     params = param_columns()
     clean = clean_event_name("event_name")
     flag_src = F.col("event_name") if raw_name_flags else clean
-    flat = [F.col(f"{s}.{f}").alias(f"{s}_{f}") for s, fields in FLAT_STRUCT_FIELDS[:2] for f in fields]
     return df.select(
         "event_date_dt", "event_timestamp", clean.alias("event_name"),
-        *flat[:3],
+        *_members("privacy_info"),
         "user_id", "user_pseudo_id", "user_first_touch_timestamp",
-        *flat[3:],
-        *[F.col(f"{s}.{f}").alias(f"{s}_{f}") for s, fields in FLAT_STRUCT_FIELDS[2:] for f in fields],
+        *[c for s in ("user_ltv", "device", "geo", "app_info") for c in _members(s)],
         *[F.col(f"traffic_source.{f}").alias(a) for f, a in TRAFFIC_RENAMES],
         "stream_id", "platform",
         F.struct(*[F.col(n) for n in ECOMMERCE_COLUMNS]).alias("ecommerce"),
@@ -102,10 +100,37 @@ def flatten_event(df: DataFrame, raw_name_flags: bool = False, keep_empty_items:
         flag(flag_src, "purchase").alias("is_purchase"),
         "property_id",
         "event_params",
+        *optional_device(df),
         *keep,
     )
 
 
+def _members(struct: str) -> list[Column]:
+    return [F.col(f"{struct}.{f}").alias(f"{struct}_{f}") for f in FLAT_STRUCT_FIELDS[struct]]
+
+
+def optional_device(df: DataFrame) -> list[Column]:
+    """The optional device members that this export has."""
+    def has(kind: T.DataType, path: list[str]) -> bool:
+        if not path:
+            return True
+        return isinstance(kind, T.StructType) and path[0] in kind.names and has(kind[path[0]].dataType, path[1:])
+    return [F.col(f"device.{m}").alias(a) for m, a in OPTIONAL_DEVICE.items() if has(df.schema, ["device", *m.split(".")])]
+
+
+def dedup_source(source: DataFrame) -> DataFrame:
+    """Deduplicate raw rows before they are flattened: the shuffle carries each raw row and the
+    two key columns that only flattening would make, not the flattened copies."""
+    keyed = source.withColumns({"__name": clean_event_name("event_name"), "__session": param_columns()["session_id"]})
+    keys = [{"event_name": "__name", "session_id": "__session"}.get(k, k) for k in DEDUP_KEYS]
+    return dedup_events(keyed, keys).drop("__name", "__session")
+
+
+def base_model(raw: DataFrame, raw_name_flags: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw daily rows -> deduplicated base events; rows without a date are kept (NULL day)."""
+    return flatten_event(dedup_source(select_source(raw, keep=keep)), raw_name_flags=raw_name_flags, keep=keep)
+
+
 def base_events(raw: DataFrame, raw_name_flags: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Raw daily rows -> flattened base rows (before dedup)."""
     return flatten_event(select_source(raw, keep=keep), raw_name_flags=raw_name_flags, keep=keep)

@@ -6,25 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The columns that identify one event; the parameter payload is appended so
 # that events differing only in their parameters are kept apart.
 DEDUP_KEYS = ["event_date_dt", "stream_id", "user_pseudo_id", "session_id", "event_name", "event_timestamp"]
 
 
-def _orderable(df: DataFrame, exclude: set[str]) -> list[Column]:
-    def ok(t: T.DataType) -> bool:
-        if isinstance(t, T.MapType):
-            return False
-        if isinstance(t, T.ArrayType):
-            return ok(t.elementType)
-        if isinstance(t, T.StructType):
-            return all(ok(f.dataType) for f in t.fields)
-        return True
-    return [F.col(f.name) for f in df.schema.fields if f.name not in exclude and ok(f.dataType)]
-
-
 def first_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     """Keep the first row of each group by ``order``.
 
@@ -38,20 +25,18 @@ def first_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
 
-def dedup_events(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS, payload: str = "event_params",
+def row_order(df: DataFrame) -> list[Column]:
+    """A total order of rows in two numbers, whatever their number of columns."""
+    columns = [c for c, t in df.dtypes if "map<" not in t]  # maps have no hash
+    return [F.xxhash64(*columns), F.hash(*columns)]
+
+
+def dedup_events(df: DataFrame, keys: Sequence[str | Column] = DEDUP_KEYS, payload: str = "event_params",
                  order: Sequence[str] | None = None) -> DataFrame:
     """Drop duplicate events: same key columns and same parameter payload.
 
-    The survivor is chosen by a total order (``order`` columns, default: every other
-    orderable column in schema order), so reruns are reproducible; exact copies are
-    interchangeable anyway. Comparison work only happens between rows of the same group.
+    The survivor is the first by ``order``, by default by two hashes of the whole row, so reruns
+    agree; exact copies are interchangeable anyway. The payload is compared as an array: the same
+    grouping as by its JSON text, without building a string per row.
     """
-    # Payload equality is compared on the array itself (hashable and orderable in Spark):
-    # the same grouping as comparing its JSON text, without building a string per row.
-    if order is None:
-        tie = _orderable(df, set(keys) | {payload})
-    else:
-        tie = [F.col(c) for c in order]
-    # With no other columns every row of a group is identical; a key column (constant within
-    # the group) satisfies the window's required ordering.
-    return first_per_group(df, [*keys, payload], tie or [F.col(keys[-1])])
+    return first_per_group(df, [*keys, payload], [F.col(c) for c in order] if order else row_order(df))

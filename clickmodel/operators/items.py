@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _item_struct(df: DataFrame, column: str) -> T.StructType | None:
-    f = next((f for f in df.schema.fields if f.name == column), None)
-    if f is None or not isinstance(f.dataType, T.ArrayType):
-        return None
-    return f.dataType.elementType if isinstance(f.dataType.elementType, T.StructType) else None
+def item_fields(schema: T.StructType, column: str) -> T.StructType | None:
+    """The fields of an item by the frame's declared type; None for any other type."""
+    declared = dict(zip(schema.names, (f.dataType for f in schema.fields), strict=True)).get(column)
+    match declared:
+        case T.ArrayType(elementType=T.StructType() as fields):
+            return fields
+    return None
 
 
 def normalized_items(df: DataFrame, column: str = "items", keep_empty: bool = False) -> Column | None:
     """The normalised ``items`` column expression, or None when the column is missing or not an
     array of structs (see ``normalize_items``)."""
-    elem = _item_struct(df, column)
+    elem = item_fields(df.schema, column)
     if elem is None:
         return None
     names = [f.name for f in elem.fields]

@@ -1,51 +1,24 @@
-"""Join helpers that stay correct and balanced when one key holds a large share of rows."""
+"""Left join of a table that holds one row per key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEY_ROWS_CONF = "clickmodel.join.hotKeyRows"
-DEFAULT_HOT_KEY_ROWS = 1_000_000
 
-
-def max_rows_per_key(df: DataFrame, key: str) -> int:
-    """Largest number of rows sharing one key value. Reads only the key column and is
-    partially aggregated before its shuffle, so a hot key costs one row per map task."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(r["m"] or 0)
-
-
-def _skewed(right: DataFrame, key: str, hot_key_rows: int | None) -> bool:
-    if hot_key_rows is None:
-        hot_key_rows = int(right.sparkSession.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
-    return max_rows_per_key(right, key) > hot_key_rows
-
-
-def left_join(left: DataFrame, right: DataFrame, key: str, skew_safe: bool | str = "auto",
-              hot_key_rows: int | None = None) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, key: str, repeated_keys: bool = False) -> DataFrame:
     """``left LEFT JOIN right USING (key)``.
 
-    Spark's adaptive skew handling can split a hot key only on the *left* (preserved) side of
-    a left outer join. When the right side has a hot key, the join is written as
-
-        (left INNER JOIN right)  UNION ALL  (left LEFT ANTI JOIN distinct right keys) + NULLs
+    By contract ``right`` holds one row per key (``operators.quality.unique_violations`` checks
+    it); the join is then planned as it is, and Spark may split a hot key of the left side.
 
-    The inner join lets AQE split the hot key's partition and replicate the matching left
-    rows; the anti join sees only the right side's distinct keys. ``skew_safe="auto"``
-    (default) takes this form only when some right key has more than ``hot_key_rows`` rows
-    (session conf ``clickmodel.join.hotKeyRows``, default 1,000,000), measured by one
-    key-only aggregate; otherwise the plain join is used, so the left input is planned once.
-    Broadcast choices stay with AQE, which checks each side's runtime size against the
-    broadcast threshold.
+    ``repeated_keys=True`` is for a right side that breaks the contract: Spark cannot split a hot
+    right key of a left outer join, so the same rows come from an inner join, which it can split
+    on both sides, and an anti join against the distinct right keys. ``left`` is planned twice,
+    so pass one read from a written table. Broadcasts are left to the runtime size check.
     """
-    if skew_safe == "auto":
-        skew_safe = _skewed(right, key, hot_key_rows)
-    if not skew_safe:
+    if not repeated_keys:
         return left.join(right, on=key, how="left")
-    inner = left.join(right, on=key, how="inner")
-    right_keys = right.select(key).where(F.col(key).isNotNull()).distinct()
-    unmatched = left.join(right_keys, on=key, how="left_anti")
-    fill = {f.name: F.lit(None).cast(f.dataType) for f in right.schema.fields if f.name != key}
-    unmatched = unmatched.withColumns(fill) if fill else unmatched
-    return inner.unionByName(unmatched)
+    unmatched = left.join(right.select(key).where(F.col(key).isNotNull()).distinct(), on=key, how="left_anti")
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in right.schema.fields if f.name != key}
+    return left.join(right, on=key, how="inner").unionByName(unmatched.withColumns(absent) if absent else unmatched)

@@ -14,7 +14,3 @@ def unique_violations(df: DataFrame, key: str = "event_key") -> DataFrame:
 
 def served_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
-
-
-def not_null_violations(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull())

@@ -3,7 +3,7 @@ columns as JSON text, numeric columns coerced (bad values -> NULL)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,23 +35,33 @@ SERVING_COLUMNS = [
 ]
 
 
+# The columns coerced to whole numbers before the load.
+COERCED = ["event_timestamp", "user_first_touch_timestamp", "device_time_zone_offset_seconds", "device_vendor_id",
+           "device_advertising_id", "stream_id", "session_id", "engagement_time_msec", "session_engaged", "property_id"]
+
+
+def whole_number(c: Column, kind: T.DataType) -> Column:
+    """``c`` as bigint where it is a whole number in any numeric or text form, else NULL."""
+    if isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return c.cast("bigint")
+    exact = c.cast("string").try_cast("decimal(38,9)")  # also for doubles: their shortest text
+    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+
+
 def serving_projection(staged: DataFrame) -> DataFrame:
     """Staged events -> the warehouse row shape.
 
-    ``_event_date_dt`` falls back to ``event_date_dt`` when the copy is absent. Numeric
-    columns go through ``try_cast`` so malformed values load as NULL instead of failing.
+    ``_event_date_dt`` falls back to ``event_date_dt`` when the copy is absent. The ten coerced
+    columns load malformed values as NULL; all others keep the export's value. JSON text holds
+    NULL members as ``null``.
     """
     cols = []
     for name, typ in SERVING_COLUMNS:
-        src = name
-        if name == "_event_date_dt" and name not in staged.columns:
-            src = "event_date_dt"
+        src = "event_date_dt" if name == "_event_date_dt" and name not in staged.columns else name
         c = F.col(src)
         if typ == "json":
-            c = F.to_json(c)
-        elif typ in ("bigint", "int", "double"):
-            if not isinstance(staged.schema[src].dataType, (T.StringType, T.LongType, T.IntegerType, T.DoubleType)):
-                c = c.cast("string")
-            c = c.try_cast(typ)
+            c = F.to_json(c, {"ignoreNullFields": "false"})
+        elif name in COERCED:
+            c = whole_number(c, staged.schema[src].dataType)
         cols.append(c.alias(name))
     return staged.select(*cols)

@@ -95,26 +95,23 @@ def session_start(df: DataFrame) -> DataFrame:
 
 
 def session_traffic(sessions: DataFrame, traffic: DataFrame, key: str = "session_key",
-                    skew_safe: bool | str = "auto") -> DataFrame:
+                    repeated_keys: bool = False) -> DataFrame:
     """Attach session traffic sources (left join: sessions without a match get NULLs).
-    ``skew_safe``: see ``operators.joins.left_join`` (``False`` when traffic is known to hold
-    one row per session skips the hot-key check)."""
-    return left_join(sessions, traffic, key, skew_safe=skew_safe)
+    ``repeated_keys``: see ``operators.joins.left_join``."""
+    return left_join(sessions, traffic, key, repeated_keys)
 
 
 def session_derived(sessions: DataFrame, derived: DataFrame | None, join_derived: bool = False,
-                    key: str = "session_key", skew_safe: bool | str = "auto") -> DataFrame:
+                    key: str = "session_key", repeated_keys: bool = False) -> DataFrame:
     if not (join_derived and derived is not None):
         return sessions
-    return left_join(sessions, derived, key, skew_safe=skew_safe)
+    return left_join(sessions, derived, key, repeated_keys)
 
 
 def build_sessions(staged: DataFrame, traffic: DataFrame | None = None, derived: DataFrame | None = None,
-                   start=None, days: int | None = None, join_derived: bool = False,
-                   skew_safe: bool | str = "auto") -> DataFrame:
-    df = date_window_exact(staged, start, days)
-    df = drop_boundary_events(df)
-    df = session_start(first_event_per_session(df))
+                   start=None, days: int | None = None, join_derived: bool = False) -> DataFrame:
+    """Staged events -> session dimension. ``traffic`` and ``derived`` hold one row per session."""
+    df = session_start(first_event_per_session(drop_boundary_events(date_window_exact(staged, start, days))))
     if traffic is not None:
-        df = session_traffic(df, traffic, skew_safe=skew_safe)
-    return session_derived(df, derived, join_derived, skew_safe=skew_safe)
+        df = session_traffic(df, traffic)
+    return session_derived(df, derived, join_derived)

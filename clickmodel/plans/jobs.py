@@ -1,88 +1,129 @@
 """The three batch jobs: raw exports -> base events -> staged events -> session dimension.
 
-I/O lives only here. Each job is one Spark plan from scan to write; the report of written
-partitions is read back from the output's directory listing (metadata), so the plan is never
-executed a second time just to log dates.
+I/O lives only here. Each job is one Spark plan from scan to write. What a job reports is what it
+wrote: the days are observed while the rows are written, and counted from the files' footers.
+Only days (one value each) come to the driver.
+
+Beside the partitions the base output holds two folders that readers of the dataset skip:
+``_exports/export_date=D`` for each export that has been processed, whatever it held, and
+``_quarantine/export_date=D`` with the export's rows that have no valid date.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickmodel.functions.dates import parse_yyyymmdd
 from clickmodel.functions.urls import ALL_PARAMS
-from clickmodel.operators.base import base_events
+from clickmodel.operators.base import base_model
 from clickmodel.operators.dedup import dedup_events
 from clickmodel.operators.sessions import build_sessions, date_window
 from clickmodel.operators.staging import stage_events
-from clickmodel.plans.planner import dates_to_process, plan_dates
-from clickmodel.sources.files import list_partition_dates, list_raw_dates, read_days, read_partitioned
-from clickmodel.sources.sinks import write_partitioned
+from clickmodel.plans.planner import PROCESS, plan_dates
+from clickmodel.sources.files import (EXPORT_DAY, days_frame, delete_folder, list_raw_dates, partition_days, read_days,
+                                      read_partitioned, union_days)
+from clickmodel.sources.sinks import partition_rows, write_partitioned
+
+EXPORTS, QUARANTINE = "_exports", "_quarantine"
+REPORT = "date date, status string, written boolean, n_rows bigint, n_quarantined bigint"
+
 
+def processed_days(spark: SparkSession, out_prefix: str) -> list[dt.date]:
+    """Days whose export is in the base output: those recorded, and partitions of outputs
+    written before exports were recorded."""
+    recorded = partition_days(spark, f"{out_prefix}/{EXPORTS}", "export_date")
+    return recorded or partition_days(spark, out_prefix)
 
-def _written(spark: SparkSession, out_prefix: str, column: str, dates: DataFrame) -> DataFrame:
-    return list_partition_dates(spark, out_prefix, column).join(dates.select("date").distinct(), "date", "left_semi")
 
+def _write_base(spark: SparkSession, raw: DataFrame, out_prefix: str, raw_name_flags: bool) -> list[dt.date]:
+    """Writes the raw rows' days. A day that the output already holds is never overwritten from
+    another day's export alone: its rows are read, joined to the new ones and deduplicated."""
+    held = set(partition_days(spark, out_prefix))
+    day = parse_yyyymmdd("event_date")
+    touched = {r[0] for r in raw.select(day.alias("d")).distinct().collect() if r[0]} & held
+    base = base_model(raw, raw_name_flags=raw_name_flags).where(F.col("event_date_dt").isNotNull())
+    if touched:
+        old = read_partitioned(spark, out_prefix).where(F.col("event_date_dt").isin(sorted(touched)))
+        base = dedup_events(union_days([base, old]))
+    return write_partitioned(base, out_prefix, "event_date_dt")
 
-def base_model(raw: DataFrame, raw_name_flags: bool = False) -> DataFrame:
-    """Raw export rows -> deduplicated base events (rows with an unparseable date excluded)."""
-    base = dedup_events(base_events(raw, raw_name_flags=raw_name_flags))
-    return base.where(F.col("event_date_dt").isNotNull())
+
+def _quarantine(raw: DataFrame, out_prefix: str) -> dict[dt.date, int]:
+    """Sets aside the rows without a valid date, by export day; a rerun replaces the day's rows."""
+    bad = raw.where(parse_yyyymmdd("event_date").isNull())
+    counts = {r[0]: r[1] for r in bad.groupBy(EXPORT_DAY).count().collect()}
+    if counts:
+        write_partitioned(bad.withColumnRenamed(EXPORT_DAY, "export_date"), f"{out_prefix}/{QUARANTINE}", "export_date")
+    return counts
 
 
 def run_base(spark: SparkSession, raw_prefix: str, out_prefix: str, start=None, days: int | None = None,
-             as_of=None, raw_name_flags: bool = False, quarantine_prefix: str | None = None,
-             batch_days: int | None = None, tolerant: bool = False) -> DataFrame:
-    """Process raw days not yet in ``out_prefix``; returns the plan rows plus ``written``.
-
-    The planned dates are metadata (one row per day); they are collected to build the file
-    list for a declared-schema scan. By default all planned days are one job. The dedup
-    shuffle spreads every day over all reduce tasks, so a job writes (tasks x days) files;
-    for large backfills ``batch_days`` runs the days in batches (one distributed job per
-    batch) so each day lands in about one file per task. Each batch overwrites only its own
-    partitions, so an interrupted backfill resumes from the unprocessed days.
-    ``tolerant`` reads exports whose column types drift between days (see ``read_days``).
+             as_of=None, raw_name_flags: bool = False, batch_days: int | None = None) -> DataFrame:
+    """Process the raw exports not yet in ``out_prefix``.
+
+    Returns (date, status, written, n_rows, n_quarantined): the planned days and any other day
+    that their exports held rows of (status ``other``); n_rows counts the day's rows now stored.
+    ``batch_days`` runs the planned days in batches, each recorded when it is done, so an
+    interrupted backfill goes on where it stopped.
     """
-    plan = plan_dates(list_raw_dates(spark, raw_prefix), list_partition_dates(spark, out_prefix),
+    out_prefix = out_prefix.rstrip("/")
+    plan = plan_dates(list_raw_dates(spark, raw_prefix), days_frame(spark, processed_days(spark, out_prefix)),
                       start=start, days=days, as_of=as_of)
-    todo = sorted(r["date"] for r in dates_to_process(plan).collect())
-    if not todo:
-        return plan.withColumn("written", F.lit(False))
-    step = batch_days or len(todo)
+    status = {r["date"]: r["status"] for r in plan.collect()}
+    todo = sorted(d for d, s in status.items() if s == PROCESS)
+    written: set[dt.date] = set()
+    quarantined: dict[dt.date, int] = {}
+    step = batch_days or max(len(todo), 1)
     for i in range(0, len(todo), step):
-        raw = read_days(spark, raw_prefix, todo[i:i + step], tolerant=tolerant)
-        if quarantine_prefix:
-            from clickmodel.functions.dates import parse_yyyymmdd
-            raw.where(parse_yyyymmdd("event_date").isNull()).write.mode("append").parquet(quarantine_prefix)
-        write_partitioned(base_model(raw, raw_name_flags), out_prefix, "event_date_dt")
-    written = _written(spark, out_prefix, "event_date_dt", dates_to_process(plan)).withColumn("written", F.lit(True))
-    return plan.join(written, "date", "left").fillna({"written": False})
+        batch = todo[i:i + step]
+        raw = read_days(spark, raw_prefix, batch, export_day=True)
+        quarantined |= _quarantine(raw, out_prefix)
+        written |= set(_write_base(spark, raw.drop(EXPORT_DAY), out_prefix, raw_name_flags))
+        done = days_frame(spark, batch).select(F.col("date").alias("export_date"), F.lit(True).alias("done"))
+        write_partitioned(done, f"{out_prefix}/{EXPORTS}", "export_date")
+    stored = {r["date"]: r["n_rows"] for r in partition_rows(spark, out_prefix, "event_date_dt", sorted(written)).collect()}
+    rows = [(d, status.get(d, "other"), d in written, stored.get(d, 0), quarantined.get(d, 0)) for d in sorted({*status, *written})]
+    return spark.createDataFrame(rows, REPORT)
+
+
+def _replace_days(spark: SparkSession, df: DataFrame, out_prefix: str, column: str, window: DataFrame,
+                  keep_copy: str | None = None) -> DataFrame:
+    """Writes ``df`` and deletes the partitions of window days that have no rows any more;
+    returns (date, n_rows) of the days written."""
+    written = write_partitioned(df, out_prefix, column, keep_copy=keep_copy)
+    planned = {r[0] for r in window.collect()}
+    for day in (planned - set(written)) & set(partition_days(spark, out_prefix, column)):
+        delete_folder(spark, f"{out_prefix}/{column}={day}")
+    stored = partition_rows(spark, out_prefix, column, written).collect()
+    return spark.createDataFrame([tuple(r) for r in stored], "date date, n_rows bigint")
+
+
+def _window(spark: SparkSession, prefix: str, start, days, **how) -> DataFrame:
+    dates = days_frame(spark, partition_days(spark, prefix)).withColumnRenamed("date", "event_date_dt")
+    return date_window(dates, start, days, **how)
 
 
 def run_staging(spark: SparkSession, base_prefix: str, out_prefix: str, start=None, days: int | None = None,
                 exclusions: Sequence[str] = (ALL_PARAMS,), url_mode: str = "raw") -> DataFrame:
     """Stage the base partitions in the window (``days`` forward from ``start``; start only:
-    that day and later). Returns the written partition dates."""
+    that day and later). Returns (date, n_rows) of the partitions written."""
     base = date_window(read_partitioned(spark, base_prefix), start, days)
     staged = stage_events(base, exclusions=exclusions, url_mode=url_mode)
-    write_partitioned(staged, out_prefix, "event_date_dt", keep_copy="_event_date_dt")
-    window = date_window(list_partition_dates(spark, base_prefix).withColumnRenamed("date", "event_date_dt"),
-                         start, days).withColumnRenamed("event_date_dt", "date")
-    return _written(spark, out_prefix, "event_date_dt", window)
+    return _replace_days(spark, staged, out_prefix, "event_date_dt", _window(spark, base_prefix, start, days), "_event_date_dt")
 
 
 def run_sessions(spark: SparkSession, staged_prefix: str, traffic_prefix: str | None, out_prefix: str,
                  start=None, days: int | None = None, derived_prefix: str | None = None,
-                 join_derived: bool = False, skew_safe: bool | str = "auto") -> DataFrame:
-    """Build the session dimension for the window (start only: that single day)."""
+                 join_derived: bool = False) -> DataFrame:
+    """Build the session dimension for the window (start only: that single day). Returns
+    (date, n_rows) of the partitions written."""
     staged = read_partitioned(spark, staged_prefix)
     traffic = read_partitioned(spark, traffic_prefix) if traffic_prefix else None
     derived = read_partitioned(spark, derived_prefix) if (join_derived and derived_prefix) else None
-    sessions = build_sessions(staged, traffic=traffic, derived=derived, start=start, days=days,
-                              join_derived=join_derived, skew_safe=skew_safe)
-    write_partitioned(sessions, out_prefix, "session_start_date")
-    window = date_window(list_partition_dates(spark, staged_prefix).withColumnRenamed("date", "d"), start, days,
-                         column="d", start_only="exact").withColumnRenamed("d", "date")
-    return _written(spark, out_prefix, "session_start_date", window)
+    sessions = build_sessions(staged, traffic=traffic, derived=derived, start=start, days=days, join_derived=join_derived)
+    window = _window(spark, staged_prefix, start, days, start_only="exact")
+    return _replace_days(spark, sessions, out_prefix, "session_start_date", window)

@@ -7,6 +7,7 @@ results hash the same way. Every query runs over the whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,31 +21,34 @@ from clickmodel.operators import quality as Q
 from clickmodel.operators import serving as SV
 from clickmodel.operators import sessions as SS
 from clickmodel.operators import staging as ST
-from clickmodel.operators.dedup import dedup_events
 from clickmodel.operators.users import USER_SNAPSHOT_FIELDS, user_snapshot
 from clickmodel.plans import planner as PL
+from clickmodel.plans.jobs import QUARANTINE, run_base
+from clickmodel.session import shared_folder
 from clickmodel.sources import testdata as TD
+from clickmodel.sources.files import list_partition_dates, list_raw_dates, raw_days, read_days, read_partitioned
+from clickmodel.sources.sinks import partition_rows, write_partitioned
 
 ID = "event_bundle_sequence_id"
 QUERY_EXCLUSIONS = ["gclid", "ref", "parameter"]
 WINDOW_START, WINDOW_DAYS, EXACT_DAY = "2024-01-05", 7, "2024-01-10"
 
 
-def _raw(spark, d, items=False):
-    return TD.raw_events(spark, d, with_items=items)
+def _raw(spark, d):
+    return TD.raw_events(spark, d)
 
 
-def _flat(spark, d, items=False, raw_name_flags=False):
-    src = B.select_source(_raw(spark, d, items), keep=[ID])
+def _flat(spark, d, raw_name_flags=False):
+    src = B.select_source(_raw(spark, d), keep=[ID])
     return B.flatten_event(src, raw_name_flags=raw_name_flags, keep=[ID]).withColumnRenamed(ID, "event_id")
 
 
-def _base(spark, d, items=False):
-    return dedup_events(_flat(spark, d, items))
+def _base(spark, d):
+    return B.base_model(_raw(spark, d), keep=[ID]).withColumnRenamed(ID, "event_id")
 
 
-def _staged(spark, d, items=False, dedup=True):
-    return ST.stage_events(_base(spark, d, items) if dedup else _flat(spark, d, items))
+def _staged(spark, d, dedup=True):
+    return ST.stage_events(_base(spark, d) if dedup else _flat(spark, d))
 
 
 def _sessions(spark, d):
@@ -55,6 +59,10 @@ def _ds(c: str) -> F.Column:
     return F.col(c).cast("string").alias(c)
 
 
+def _items() -> F.Column:
+    return F.to_json("items").alias("items_json")
+
+
 REG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
@@ -112,7 +120,7 @@ def q_session_engaged(spark, d):
     f"SELECT event_id, CAST(len(items) AS BIGINT) AS n_items, {O.sjson('items')} AS items_json FROM flat",
     upto="flat"))
 def q_normalize_items(spark, d):
-    f = _flat(spark, d, items=True)
+    f = _flat(spark, d)
     return f.select("event_id", F.size("items").cast("long").alias("n_items"), F.to_json("items").alias("items_json"))
 
 
@@ -122,7 +130,7 @@ def q_normalize_items(spark, d):
     "LEFT JOIN LATERAL (SELECT unnest(items) AS it, generate_subscripts(items, 1) AS pos) t ON true",
     upto="raw"))
 def q_explode_items(spark, d):
-    x = IT.explode_items(_raw(spark, d, items=True).select(F.col(ID).alias("event_id"), "items"))
+    x = IT.explode_items(_raw(spark, d).select(F.col(ID).alias("event_id"), "items"))
     return x.select("event_id", F.col("item_index").cast("long").alias("item_index"),
                     F.col("item.item_id").alias("item_id"), F.col("item.quantity").alias("quantity"),
                     F.col("item.price").alias("price"))
@@ -132,7 +140,7 @@ def q_explode_items(spark, d):
     f"SELECT event_bundle_sequence_id AS event_id, {O.sjson('coalesce(items, [])')} AS items_json "
     "FROM (SELECT DISTINCT event_bundle_sequence_id, items FROM raw) t", upto="raw"))
 def q_collect_items(spark, d):
-    x = IT.explode_items(_raw(spark, d, items=True).select(F.col(ID).alias("event_id"), "items").distinct())
+    x = IT.explode_items(_raw(spark, d).select(F.col(ID).alias("event_id"), "items").distinct())
     return IT.collect_items(x, ["event_id"]).select("event_id", F.to_json("items").alias("items_json"))
 
 
@@ -147,26 +155,27 @@ SOURCE_SCALARS = ["event_timestamp", "event_name", "user_id", "user_pseudo_id",
     "AS event_date_dt, event_timestamp, event_name, user_id, user_pseudo_id, stream_id, platform, "
     "event_previous_timestamp, event_value_in_usd, event_server_timestamp_offset, user_first_touch_timestamp, "
     + ", ".join(f"ecommerce.{c} AS {c}" for c in B.ECOMMERCE_COLUMNS)
-    + ", CAST(999999999 AS BIGINT) AS property_id FROM raw", upto="raw"))
+    + f", CAST(999999999 AS BIGINT) AS property_id, {O.sjson('items')} AS items_json FROM raw", upto="raw"))
 def q_select_source(spark, d):
     s = B.select_source(_raw(spark, d), keep=[ID])
-    return s.select(F.col(ID).alias("event_id"), _ds("event_date_dt"), *SOURCE_SCALARS)
+    return s.select(F.col(ID).alias("event_id"), _ds("event_date_dt"), *SOURCE_SCALARS, _items())
 
 
 FLAT_SCALARS = [
     "event_timestamp", "event_name", "privacy_info_analytics_storage", "privacy_info_ads_storage",
     "privacy_info_uses_transient_token", "user_id", "user_pseudo_id", "user_first_touch_timestamp",
     "user_ltv_revenue", "user_ltv_currency",
-    *[f"{s}_{f}" for s, fs in B.FLAT_STRUCT_FIELDS[2:] for f in fs],
+    *[f"{s}_{f}" for s in ("device", "geo", "app_info") for f in B.FLAT_STRUCT_FIELDS[s]],
     "user_campaign", "user_medium", "user_source", "stream_id", "platform", *EXTRACT_COLS,
     "is_page_view", "is_purchase", "property_id", "event_id",
 ]
 
 
 @register("flatten_event", O.with_layers(
-    f"SELECT CAST(event_date_dt AS VARCHAR) AS event_date_dt, {', '.join(FLAT_SCALARS)} FROM flat", upto="flat"))
+    f"SELECT CAST(event_date_dt AS VARCHAR) AS event_date_dt, {', '.join(FLAT_SCALARS)}, {O.sjson('items')} AS items_json "
+    "FROM flat", upto="flat"))
 def q_flatten_event(spark, d):
-    return _flat(spark, d).select(_ds("event_date_dt"), *FLAT_SCALARS)
+    return _flat(spark, d).select(_ds("event_date_dt"), *FLAT_SCALARS, _items())
 
 
 @register("ecommerce_repack", O.with_layers(
@@ -210,9 +219,10 @@ DEDUP_OUT = ["event_id", "stream_id", "user_pseudo_id", "session_id", "event_nam
 
 
 @register("dedup_events", O.with_layers(
-    f"SELECT CAST(event_date_dt AS VARCHAR) AS event_date_dt, {', '.join(DEDUP_OUT)} FROM base", upto="base"))
+    f"SELECT CAST(event_date_dt AS VARCHAR) AS event_date_dt, {', '.join(DEDUP_OUT)}, {O.sjson('items')} AS items_json "
+    "FROM base", upto="base"))
 def q_dedup_events(spark, d):
-    return _base(spark, d).select(_ds("event_date_dt"), *DEDUP_OUT)
+    return _base(spark, d).select(_ds("event_date_dt"), *DEDUP_OUT, _items())
 
 
 @register("union_days", O.with_layers(
@@ -270,9 +280,17 @@ def q_url_parts_encoded(spark, d):
     return b.select("event_id", "page_path", "page_hostname", "page_query_string")
 
 
+def _params_removed_sql(u: str) -> str:
+    """Without regular expressions: split at the first '?', drop the named parts, join again."""
+    named = " OR ".join(f"starts_with(p, '{n}=')" for n in QUERY_EXCLUSIONS)
+    left = f"list_filter(string_split(substr({u}, strpos({u}, '?') + 1), '&'), lambda p: NOT ({named}))"
+    return (f"CASE WHEN strpos({u}, '?') = 0 THEN {u} ELSE split_part({u}, '?', 1) || "
+            f"CASE WHEN len({left}) > 0 THEN '?' || array_to_string({left}, '&') ELSE '' END END")
+
+
 @register("query_param_removal", O.with_layers(
-    f"SELECT event_id, {O.remove_params('page_location', QUERY_EXCLUSIONS)} AS page_location, "
-    f"{O.remove_params('page_referrer', QUERY_EXCLUSIONS)} AS page_referrer FROM base", upto="base"))
+    f"SELECT event_id, {_params_removed_sql('page_location')} AS page_location, "
+    f"{_params_removed_sql('page_referrer')} AS page_referrer FROM base", upto="base"))
 def q_query_param_removal(spark, d):
     b = ST.query_param_removal(_base(spark, d), QUERY_EXCLUSIONS)
     return b.select("event_id", "page_location", "page_referrer")
@@ -382,10 +400,7 @@ def _serving_sql_cols() -> str:
         if name == "_event_date_dt":
             out.append("CAST(event_date_dt AS VARCHAR) AS _event_date_dt")
         elif typ == "json":
-            out.append(f"{O.sjson(name)} AS {name}")
-        elif typ in ("bigint", "int", "double"):
-            t = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}[typ]
-            out.append(f"TRY_CAST({name} AS {t}) AS {name}")
+            out.append(f"CAST(to_json({name}) AS VARCHAR) AS {name}")
         else:
             out.append(name)
     return ", ".join(out)
@@ -393,7 +408,7 @@ def _serving_sql_cols() -> str:
 
 @register("serving_projection", O.with_layers(f"SELECT {_serving_sql_cols()} FROM stg"))
 def q_serving_projection(spark, d):
-    s = SV.serving_projection(_staged(spark, d, items=True))
+    s = SV.serving_projection(_staged(spark, d))
     return s.withColumn("_event_date_dt", F.col("_event_date_dt").cast("string"))
 
 
@@ -497,10 +512,140 @@ def q_plan_files(spark, d):
     return PL.plan_files(raw.select(name, "date"), processed.select(name), as_of=as_of)
 
 
-@register("partitions_written", O.with_layers(
-    "SELECT CAST(event_date_dt AS VARCHAR) AS event_date_dt, count(*) AS n_rows FROM base GROUP BY 1", upto="base"))
+# ---------------------------------------------------------------- jobs over files
+def _root(spark) -> str:
+    return f"{shared_folder(spark)}/jobs-{uuid.uuid4().hex}"
+
+
+BASE_BY_DAY = "SELECT CAST(event_date_dt AS VARCHAR) AS event_date_dt, count(*) AS n_rows FROM base GROUP BY 1"
+
+
+@register("partitions_written", O.with_layers(BASE_BY_DAY, upto="base"))
 def q_partitions_written(spark, d):
-    return PL.partition_report(_base(spark, d), "event_date_dt").select(_ds("event_date_dt"), "n_rows")
+    # the report of what was written: days observed by the write, rows from the files' footers
+    out = _root(spark)
+    days = write_partitioned(_base(spark, d), out, "event_date_dt")
+    return partition_rows(spark, out, "event_date_dt", days).select(F.col("date").cast("string").alias("event_date_dt"), "n_rows")
+
+
+@register("list_raw_dates", f"SELECT CAST(d AS VARCHAR) AS date, 'events_' || strftime(d, '%Y%m%d') || '.parquet' AS file_name FROM ({RAW_DATES_SQL}) r")
+def q_list_raw_dates(spark, d):
+    # beside the exports: an archive one level down, malformed names and an impossible date
+    root = _root(spark)
+    raw = _raw(spark, d)
+    TD.land_exports(spark, raw, root)
+    TD.land_exports(spark, raw.withColumn("old", F.lit("20231231")), f"{root}/archive", day="old")
+    TD.land_exports(spark, raw.withColumn("odd", F.concat(F.substring("event_date", 1, 6), F.lit("45"))), root, day="odd")
+    return list_raw_dates(spark, root).select(_ds("date"), "file_name")
+
+
+@register("list_processed_dates", f"SELECT CAST(d AS VARCHAR) AS date FROM ({RAW_DATES_SQL}) r")
+def q_list_processed_dates(spark, d):
+    # rows without a date make a NULL partition, which is no processed day
+    out = _root(spark)
+    base = _base(spark, d)
+    nameless = base.withColumn("event_date_dt", F.lit(None).cast("date"))
+    base.unionByName(nameless).write.partitionBy("event_date_dt").parquet(out)
+    return list_partition_dates(spark, out).select(_ds("date"))
+
+
+@register("read_partitioned", O.with_layers(
+    "SELECT event_id, CAST(event_date_dt AS VARCHAR) AS event_date_dt, CAST(event_date_dt AS VARCHAR) AS _event_date_dt, "
+    "session_key FROM stg"))
+def q_read_partitioned(spark, d):
+    out = _root(spark)
+    write_partitioned(_staged(spark, d), out, "event_date_dt", keep_copy="_event_date_dt")
+    return read_partitioned(spark, out).select("event_id", _ds("event_date_dt"), _ds("_event_date_dt"), "session_key")
+
+
+_DAY = "CAST(substr(event_date, 7, 2) AS INTEGER)"
+
+
+@register("read_days", O.with_layers(
+    f"SELECT event_bundle_sequence_id AS event_id, event_date, CASE WHEN {_DAY} % 3 = 1 "
+    "THEN CASE WHEN privacy_info.analytics_storage = 1 THEN 'Yes' ELSE 'No' END "
+    "ELSE CAST(privacy_info.analytics_storage AS VARCHAR) END AS analytics_storage, "
+    "CAST(len(event_params) + 1 AS BIGINT) AS n_params, event_bundle_sequence_id * 0.5::DOUBLE AS score, "
+    f"CASE WHEN {_DAY} % 3 = 2 THEN NULL ELSE stream_id END AS stream_id, "
+    "CAST(to_json(list_transform(items, lambda x: CASE WHEN x IS NULL THEN NULL ELSE {'item_id': x.item_id, 'quantity': x.quantity, "
+    "'price': x.price, 'item_name': 'item ' || x.item_id} END)) AS VARCHAR) AS items_json FROM raw", upto="raw"))
+def q_read_days(spark, d):
+    # exports with a double-valued parameter and an item field that the model does not name;
+    # privacy flags as INT32, INT64 or text, and a day's stream id as text that is no number
+    root, raw, day = _root(spark), _raw(spark, d), F.substring("event_date", 7, 2).cast("int") % 3
+    value = lambda s, i, f: F.struct(s.alias("string_value"), i.alias("int_value"), f.alias("double_value"))
+    none, eid = F.lit(None), F.col(ID)
+    score = F.struct(F.lit("score").alias("key"), value(none.cast("string"), none.cast("bigint"), eid * F.lit(0.5)).alias("value"))
+    raw = raw.withColumns({
+        "event_params": F.array_append(F.transform("event_params", lambda p: F.struct(
+            p["key"].alias("key"), value(p["value"]["string_value"], p["value"]["int_value"], none.cast("double")).alias("value"))), score),
+        "items": F.transform("items", lambda x: F.when(x.isNotNull(), x.withField("item_name", F.concat(F.lit("item "), x["item_id"])))),
+    })
+    flag = F.col("privacy_info.analytics_storage")
+    as_text = F.when(flag == 1, F.lit("Yes")).otherwise(F.lit("No"))
+    TD.land_exports(spark, raw.where(day == 0).withColumn("privacy_info", F.col("privacy_info").withField("analytics_storage", flag.cast("bigint"))), root)
+    TD.land_exports(spark, raw.where(day == 1).withColumn("privacy_info", F.col("privacy_info").withField("analytics_storage", as_text)), root)
+    TD.land_exports(spark, raw.where(day == 2).withColumn("stream_id", F.lit("n/a")), root)
+    got = read_days(spark, root, raw_days(spark, root))
+    found = F.filter("event_params", lambda p: p["key"] == "score")
+    return got.select(eid.alias("event_id"), "event_date", flag.alias("analytics_storage"), F.size("event_params").cast("long").alias("n_params"),
+                      F.get(found, 0)["value"]["double_value"].alias("score"), "stream_id",
+                      F.to_json("items", {"ignoreNullFields": "false"}).alias("items_json"))
+
+
+@register("overwrite_days", O.with_layers(
+    "SELECT CAST(event_date_dt AS VARCHAR) AS event_date_dt, count(*) AS n_rows, CAST(sum(event_timestamp) AS BIGINT) AS timestamps "
+    "FROM base GROUP BY 1", upto="base"))
+def q_overwrite_days(spark, d):
+    # every 17th event arrives a day late, in the next day's export; the exports are processed in
+    # two runs, and a third finds nothing to do
+    root, out = f"{_root(spark)}/raw", f"{_root(spark)}/base"
+    day = F.to_date("event_date", "yyyyMMdd")
+    raw = _raw(spark, d).withColumn("export", F.date_format(F.date_add(day, (F.col(ID) % 17 == 0).cast("int")), "yyyyMMdd"))
+    for part in (F.dayofmonth(F.to_date("export", "yyyyMMdd")) <= 10, F.dayofmonth(F.to_date("export", "yyyyMMdd")) > 10):
+        TD.land_exports(spark, raw.where(part).select("*"), root, day="export")
+        run_base(spark, root, out)
+    run_base(spark, root, out)
+    base = read_partitioned(spark, out)
+    return base.groupBy(_ds("event_date_dt")).agg(F.count("*").alias("n_rows"), F.sum("event_timestamp").alias("timestamps"))
+
+
+@register("quarantine_days", O.with_layers(
+    "SELECT CAST(date AS VARCHAR) AS date, status, written, coalesce(n_rows, 0) AS n_rows, coalesce(n_bad, 0) AS n_quarantined, "
+    "coalesce(n_bad, 0) AS n_stored FROM "
+    "(SELECT DISTINCT try_strptime(event_date, '%Y%m%d')::DATE AS date, 'process' AS status, true AS written FROM raw) r "
+    "LEFT JOIN (SELECT event_date_dt AS date, count(*) AS n_rows FROM base WHERE event_id % 19 <> 0 GROUP BY 1) b USING (date) "
+    "LEFT JOIN (SELECT try_strptime(event_date, '%Y%m%d')::DATE AS date, count(*) AS n_bad FROM raw "
+    "WHERE event_bundle_sequence_id % 19 = 0 GROUP BY 1) q USING (date)", upto="base"))
+def q_quarantine_days(spark, d):
+    # every 19th event's date is malformed; the report and the rows set aside, after two runs
+    root, out = f"{_root(spark)}/raw", f"{_root(spark)}/base"
+    dashed = F.concat_ws("-", F.substring("event_date", 1, 4), F.substring("event_date", 5, 2), F.substring("event_date", 7, 2))
+    raw = _raw(spark, d).withColumn("export", F.col("event_date")).withColumn("event_date", F.when(F.col(ID) % 19 == 0, dashed).otherwise(F.col("event_date")))
+    TD.land_exports(spark, raw, root, day="export")
+    report = run_base(spark, root, out)
+    run_base(spark, root, out)
+    aside = spark.read.parquet(f"{out}/{QUARANTINE}").groupBy(F.col("export_date").alias("date")).agg(F.count("*").alias("n_stored"))
+    joined = report.join(aside, "date", "left")
+    return joined.select(_ds("date"), "status", "written", "n_rows", "n_quarantined", F.coalesce("n_stored", F.lit(0)).alias("n_stored"))
+
+
+@register("serving_coercion", O.with_layers(
+    "SELECT event_id, CAST(CASE event_id % 5 WHEN 0 THEN 12 WHEN 1 THEN 7 WHEN 4 THEN -3 END AS BIGINT) AS device_vendor_id, "
+    "stream_id, CASE WHEN event_id % 2 = 0 THEN session_id END AS session_id, engagement_time_msec, "
+    "CASE WHEN privacy_info_analytics_storage = 1 THEN 'Yes' ELSE 'No' END AS privacy_info_analytics_storage FROM stg"))
+def q_serving_coercion(spark, d):
+    # whole numbers as text, double, decimal and float; text flags are no numbers to coerce
+    eid = F.col("event_id")
+    texts = F.get(F.array(*map(F.lit, ["12.0", "7", "7.5", "abc", "-3.000"])), (eid % 5).cast("int"))
+    staged = _staged(spark, d).withColumns({
+        "device_vendor_id": texts, "stream_id": F.col("stream_id").cast("double"),
+        "session_id": (F.col("session_id") + F.when(eid % 2 == 0, F.lit(0)).otherwise(F.lit(0.25))).cast("decimal(22,2)"),
+        "engagement_time_msec": F.col("engagement_time_msec").cast("float"),
+        "privacy_info_analytics_storage": F.when(F.col("privacy_info_analytics_storage") == 1, F.lit("Yes")).otherwise(F.lit("No"))})
+    served = SV.serving_projection(staged.withColumn("user_id", eid.cast("string")))
+    return served.select(F.col("user_id").cast("bigint").alias("event_id"), "device_vendor_id", "stream_id", "session_id",
+                         "engagement_time_msec", "privacy_info_analytics_storage")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,11 +1,13 @@
-"""Declared schemas. Reads of raw daily files use ``RAW_EVENT`` so that a day missing a
-column, or a column typed differently on one day, never changes the plan."""
+"""Declared types of the members that the model reads. An export may hold more, and may lack
+some: ``sources.files.read_days`` keeps the rest as it is and fills what is missing."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
 S, L, I, D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
+# A member whose type is the export's own: exports hold the privacy flags as numbers or as text.
+AS_FOUND = T.NullType()
 
 
 def _struct(*fields) -> T.StructType:
@@ -18,7 +20,7 @@ PARAMS = T.ArrayType(PARAM, True)
 ITEM = _struct(("item_id", S), ("quantity", L), ("price", D))
 ITEMS = T.ArrayType(ITEM, True)
 
-PRIVACY_INFO = _struct(("analytics_storage", I), ("ads_storage", I), ("uses_transient_token", S))
+PRIVACY_INFO = _struct(("analytics_storage", AS_FOUND), ("ads_storage", AS_FOUND), ("uses_transient_token", S))
 USER_LTV = _struct(("revenue", D), ("currency", S))
 DEVICE = _struct(("category", S), ("mobile_brand_name", S), ("mobile_model_name", S),
                  ("mobile_marketing_name", S), ("mobile_os_hardware_model", L), ("operating_system", S),
@@ -44,19 +46,3 @@ RAW_EVENT = _struct(
     ("traffic_source", TRAFFIC_SOURCE), ("stream_id", L), ("platform", S), ("ecommerce", ECOMMERCE),
     ("items", ITEMS),
 )
-
-# Raw user-snapshot export rows (input of operators.users.user_snapshot).
-USER_SNAPSHOT_RAW = _struct(
-    ("user_info", _struct(("last_active_timestamp_micros", L), ("user_first_touch_timestamp_micros", L),
-                          ("first_purchase_date", S))),
-    ("device", _struct(("operating_system", S), ("category", S), ("mobile_brand_name", S),
-                       ("mobile_model_name", S), ("unified_screen_name", S))),
-    ("geo", _struct(("city", S), ("country", S), ("continent", S), ("region", S))),
-    ("user_ltv", _struct(("revenue_in_usd", D), ("sessions", L), ("engagement_time_millis", L),
-                         ("purchases", L), ("engaged_sessions", L), ("session_duration_micros", L))),
-    ("predictions", _struct(("in_app_purchase_score_7d", D), ("purchase_score_7d", D),
-                            ("churn_score_7d", D), ("revenue_28d_in_usd", D))),
-    ("privacy_info", _struct(("is_limited_ad_tracking", S), ("is_ads_personalization_allowed", S))),
-    ("occurrence_date", S), ("last_updated_date", S),
-    ("user_properties", PARAMS), ("audiences", T.ArrayType(_struct(("id", L), ("name", S)), True)),
-)

@@ -1,4 +1,4 @@
-"""Session helpers: a tuned local session for tests/bench and the shared checkpoint folder."""
+"""Session helpers: a tuned local session for tests/bench and the shared folder."""
 
 from __future__ import annotations
 
@@ -35,26 +35,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
-
-    On a cluster the setting must name shared storage and is only read here. Only when it is
-    unset (local tests) is a fresh scratch folder created and set.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: the session's ``spark.checkpoint.dir``.
+    Only where that is unset (local tests) a scratch folder is made and set."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no local SparkContext (Spark Connect): the conf is all there is
-        sc = None
-    if not d and sc is not None:
-        d = sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="clickmodel-ckpt-")
+        d = tempfile.mkdtemp(prefix="clickmodel-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None:
-        sc.setCheckpointDir(d)
-    return d
+    return d.rstrip("/")

@@ -1,106 +1,202 @@
 """File sources: daily raw exports, partitioned datasets, and their listings.
 
-Listings use Spark's ``binaryFile`` source reading only the ``path`` column (no file content),
-so discovery is itself a distributed, column-pruned scan rather than a driver loop.
+A listing asks the file system for one level below a prefix: a name per export day or
+partition, whatever number of data files lies below. It starts no Spark task and reads no file.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
-from clickmodel.schema import RAW_EVENT
+from clickmodel.schema import AS_FOUND, RAW_EVENT
 
 RAW_FILE_PATTERN = r"events_(\d{8})\.parquet"
-DATE_SCHEMA = T.StructType([T.StructField("date", T.DateType())])
+EXPORT_DAY = "__export_day"
 
 
 def raw_file_name(day: dt.date) -> str:
     return f"events_{day:%Y%m%d}.parquet"
 
 
-def _paths(spark: SparkSession, prefix: str) -> DataFrame | None:
+def _file_system(spark: SparkSession, prefix: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(prefix)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, prefix: str) -> list[str]:
+    """Names one level below ``prefix``; a missing prefix is empty, any other failure is raised."""
+    path, fs = _file_system(spark, prefix)
+    if not fs.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(path))
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, fs = _file_system(spark, folder)
+    fs.delete(path, True)
+
+
+def _day(text: str, form: str) -> dt.date | None:
     try:
-        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                .load(prefix).select("path"))
-    except AnalysisException:
+        return dt.datetime.strptime(text, form).date()
+    except ValueError:
         return None
 
 
+def raw_days(spark: SparkSession, prefix: str) -> list[dt.date]:
+    """Days of the ``events_YYYYMMDD.parquet`` exports (files or folders) directly under
+    ``prefix``; malformed names and dates are skipped."""
+    found = (re.fullmatch(RAW_FILE_PATTERN, n) for n in list_names(spark, prefix))
+    return sorted({d for m in found if m and (d := _day(m[1], "%Y%m%d"))})
+
+
+def partition_days(spark: SparkSession, prefix: str, column: str = "event_date_dt") -> list[dt.date]:
+    """Days of the ``column=YYYY-MM-DD`` partitions directly under ``prefix``; the NULL
+    partition and malformed names are skipped."""
+    start = f"{column}="
+    names = (n[len(start):] for n in list_names(spark, prefix) if n.startswith(start))
+    return sorted({d for n in names if (d := _day(n, "%Y-%m-%d"))})
+
+
+def days_frame(spark: SparkSession, days: Iterable[dt.date]) -> DataFrame:
+    return spark.createDataFrame([(d,) for d in days], "date date")
+
+
 def list_raw_dates(spark: SparkSession, prefix: str) -> DataFrame:
-    """(date, file_name) of ``events_YYYYMMDD.parquet`` exports under ``prefix`` (files or
-    Spark-written directories). Malformed dates are skipped; a missing prefix is empty."""
-    p = _paths(spark, prefix)
-    if p is None:
-        return spark.createDataFrame([], "date date, file_name string")
-    name = F.regexp_extract("path", rf"/({RAW_FILE_PATTERN})(/|$)", 1)
-    d = F.try_to_date(F.regexp_extract("path", rf"/{RAW_FILE_PATTERN}(/|$)", 1), "yyyyMMdd")
-    return p.select(d.alias("date"), name.alias("file_name")).where(F.col("date").isNotNull()).distinct()
+    """(date, file_name) of the raw exports under ``prefix``."""
+    days = raw_days(spark, prefix)
+    return spark.createDataFrame([(d, raw_file_name(d)) for d in days], "date date, file_name string")
 
 
 def list_partition_dates(spark: SparkSession, prefix: str, column: str = "event_date_dt") -> DataFrame:
-    """(date) of ``column=YYYY-MM-DD`` partitions under ``prefix``; NULL-date partitions
-    (``__HIVE_DEFAULT_PARTITION__``) and malformed names are ignored."""
-    p = _paths(spark, prefix)
-    if p is None:
-        return spark.createDataFrame([], DATE_SCHEMA)
-    v = F.regexp_extract("path", rf"/{column}=([^/]+)/", 1)
-    return p.select(F.try_to_date(v, "yyyy-MM-dd").alias("date")).where(F.col("date").isNotNull()).distinct()
-
-
-def read_days(spark: SparkSession, prefix: str, days: Iterable[dt.date], schema: T.StructType | None = RAW_EVENT,
-              tolerant: bool = False) -> DataFrame:
-    """The daily export files of ``days``.
-
-    Default: one scan with the declared schema, so a day missing a column (or nested field)
-    reads it as NULL and the plan does not grow with the number of days. ``tolerant=True``
-    is for exports whose column *types* drift between days (which a single declared-schema
-    scan cannot read): each day is read with its own schema, conformed, and unioned.
-    """
-    paths = [f"{prefix.rstrip('/')}/{raw_file_name(d)}" for d in days]
-    if not paths:
-        return spark.createDataFrame([], schema or RAW_EVENT)
-    if tolerant:
-        return union_days([spark.read.parquet(p) for p in paths], schema)
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(*paths)
+    """(date) of the partitions under ``prefix``."""
+    return days_frame(spark, partition_days(spark, prefix, column))
+
+
+# ------------------------------------------------------------------ types of exports
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NUMBER = (*_WHOLE, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: struct members and array elements one by one,
+    whole numbers as bigint, other numbers as double, anything else as text."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        right = {f.name: f.dataType for f in b.fields}
+        left = [T.StructField(f.name, common_type(f.dataType, right.pop(f.name, T.NullType()))) for f in a.fields]
+        return T.StructType([*left, *[T.StructField(n, t) for n, t in right.items()]])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(common_type(a.elementType, b.elementType))
+    if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
+        return T.LongType()
+    if isinstance(a, _NUMBER) and isinstance(b, _NUMBER):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def model_type(found: T.DataType, declared: T.DataType) -> T.DataType:
+    """``found`` with the declared type of every member that the model names; all others are
+    kept as they are. A member declared ``AS_FOUND`` keeps its own type."""
+    if isinstance(declared, type(AS_FOUND)):
+        return T.StringType() if isinstance(found, T.NullType) else found
+    if isinstance(found, T.StructType) and isinstance(declared, T.StructType):
+        want = {f.name: f.dataType for f in declared.fields}
+        have = [T.StructField(f.name, model_type(f.dataType, want.pop(f.name, AS_FOUND))) for f in found.fields]
+        return T.StructType([*have, *[T.StructField(n, model_type(T.NullType(), t)) for n, t in want.items()]])
+    if isinstance(found, T.ArrayType) and isinstance(declared, T.ArrayType):
+        return T.ArrayType(model_type(found.elementType, declared.elementType))
+    if isinstance(declared, T.StructType):
+        return model_type(T.StructType([]), declared)
+    if isinstance(declared, T.ArrayType):
+        return T.ArrayType(model_type(T.NullType(), declared.elementType))
+    return declared
+
+
+_NESTED = (T.StructType, T.ArrayType, T.MapType)
+
+
+def shaped(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``c`` of type ``have`` as ``want``, member by member; a value that does not fit is NULL."""
+    if have == want:
+        return c
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        own = {f.name: f.dataType for f in have.fields}
+        members = [(shaped(c.getField(f.name), own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*members))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(c, lambda x: shaped(x, have.elementType, want.elementType))
+    if isinstance(want, _NESTED):
+        return F.lit(None).cast(want)
+    return (F.to_json(c) if isinstance(have, _NESTED) else c).try_cast(want)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Shape ``df`` to ``schema``: missing columns become typed NULLs, atomic columns whose type
-    drifted are ``try_cast`` (a value that does not fit becomes NULL instead of failing the job).
-    Nested columns are passed through; ``unionByName`` fills their missing fields."""
+    """``df`` with exactly the columns and types of ``schema``; absent columns become NULLs."""
     have = {f.name: f.dataType for f in df.schema.fields}
-    cols = []
-    for f in schema.fields:
-        if f.name not in have:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif have[f.name] != f.dataType and not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            c = F.col(f.name)
-            if isinstance(have[f.name], (T.StructType, T.ArrayType, T.MapType)):
-                c = F.to_json(c)
-            cols.append(c.try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+    return df.select(*[
+        (shaped(F.col(f.name), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields])
 
 
 def union_days(frames: Sequence[DataFrame], schema: T.StructType | None = None) -> DataFrame:
-    """Union by column name; columns missing from some frames are filled with NULL. With a
-    ``schema``, each frame is first conformed to it (see ``conform``)."""
-    if schema is not None:
-        frames = [conform(f, schema) for f in frames]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Union by column name over the frames' common types; columns that a frame lacks are NULL.
+    With a ``schema`` its members have the declared types."""
+    found = reduce(common_type, (f.schema for f in frames))
+    target = model_type(found, schema) if schema is not None else found
+    return reduce(lambda a, b: a.unionByName(b), [conform(f, target) for f in frames])
+
+
+def _export_day() -> Column:
+    """The export day in the path that a row was read from."""
+    return F.try_to_date(F.regexp_extract(F.input_file_name(), rf".*/{RAW_FILE_PATTERN}(/|$)", 1), "yyyyMMdd")
+
+
+def _scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").parquet(*paths)
+
+
+def read_days(spark: SparkSession, prefix: str, days: Iterable[dt.date], schema: T.StructType = RAW_EVENT,
+              export_day: bool = False) -> DataFrame:
+    """The daily exports of ``days`` with all their columns, parameter value types and item
+    fields; the members that ``schema`` names get its types (a value that does not fit is NULL).
+
+    One scan whose schema is merged from the files' footers in one distributed read. Only where
+    types conflict (INT32 in one file, INT64 or text in another) the days are grouped by their
+    own schema: one scan per distinct schema, then a union over the common types.
+    ``export_day`` adds the day of the file each row came from.
+    """
+    paths = [f"{prefix.rstrip('/')}/{raw_file_name(d)}" for d in days]
+    if not paths:
+        return spark.createDataFrame([], model_type(T.StructType([]), schema))
+    try:
+        frames = [_scan(spark, paths)]
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+        groups: dict[str, list[str]] = {}
+        for p in paths:
+            groups.setdefault(json.dumps(_scan(spark, [p]).schema.jsonValue()), []).append(p)
+        frames = [_scan(spark, g) for g in groups.values()]
+    if export_day:
+        frames = [f.withColumn(EXPORT_DAY, _export_day()) for f in frames]
+        schema = T.StructType([*schema.fields, T.StructField(EXPORT_DAY, T.DateType())])
+    return union_days(frames, schema)
 
 
 def read_partitioned(spark: SparkSession, prefix: str) -> DataFrame:
     """A Hive-partitioned dataset; filters on the partition column prune directories."""
-    return spark.read.parquet(prefix)
+    return spark.read.option("mergeSchema", "true").parquet(prefix)

@@ -2,44 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from clickmodel.operators.quality import unique_violations
+
 
-def write_partitioned(df: DataFrame, path: str, partition_col: str, keep_copy: str | None = None,
-                      sort_within: bool = True) -> None:
-    """Overwrite only the partitions present in ``df`` (others survive).
+def write_partitioned(df: DataFrame, path: str, partition_col: str, keep_copy: str | None = None) -> list[dt.date]:
+    """Overwrite only the partitions present in ``df`` (others survive); returns their days, as
+    observed while the rows were written.
 
-    ``keep_copy`` also stores the partition value inside the files (the partition column
-    itself only lives in directory names). Rows are clustered by the partition column within
-    each task, so each task keeps one open file per partition rather than one per row group.
+    ``keep_copy`` also stores the partition value inside the files (the partition column itself
+    only lives in directory names). Rows are rebalanced by the partition column first, so the
+    runtime merges small days into few tasks and splits large ones: the number of files follows
+    the days' sizes, not the number of shuffle partitions.
     """
     if keep_copy:
         df = df.withColumn(keep_copy, F.col(partition_col))
-    if sort_within:
-        df = df.sortWithinPartitions(partition_col)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    seen = Observation()
+    df = df.observe(seen, F.collect_set(F.col(partition_col).cast("string")).alias("days"))
+    (df.hint("rebalance", partition_col).sortWithinPartitions(partition_col)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    return sorted(dt.date.fromisoformat(d) for d in seen.get["days"])
+
+
+def partition_rows(spark, path: str, partition_col: str, days: list[dt.date]) -> DataFrame:
+    """(date, n_rows) of written partitions, counted from their files' footers."""
+    if not days:
+        return spark.createDataFrame([], "date date, n_rows bigint")
+    read = spark.read.parquet(path).where(F.col(partition_col).isin(days))
+    return read.groupBy(F.col(partition_col).cast("date").alias("date")).agg(F.count("*").alias("n_rows"))
+
+
+# The serving columns that hold JSON text.
+JSON_COLUMNS = ("ecommerce", "items", "event_params")
 
 
 def load_warehouse(df: DataFrame, url: str | None = None, table: str = "staged_events",
                    properties: dict | None = None, path: str | None = None, fmt: str = "csv",
-                   max_connections: int = 8, batch_size: int = 10000) -> None:
+                   max_connections: int = 8, batch_size: int = 10000, key: str | None = "event_key") -> None:
     """Full-refresh load of the serving projection.
 
-    With a JDBC ``url``: overwrite with ``truncate=true`` (table definition kept, rows
-    replaced), written in parallel by at most ``max_connections`` tasks (Spark coalesces to
-    that many partitions) in batched inserts. Without one: write files (CSV with header by
-    default) for a bulk loader.
+    ``key`` is the table's primary key: a repeated or missing value fails before anything is
+    written (None skips the check). With a JDBC ``url``: overwrite with ``truncate=true`` (table
+    definition kept, rows replaced), written by at most ``max_connections`` tasks in batched
+    inserts; a table that must be created gets JSON columns. Without one: write files (CSV with
+    header by default) for a bulk loader.
     """
+    if not url and not path:
+        raise ValueError("need a JDBC url or an output path")
+    if key and (bad := unique_violations(df, key).limit(1).collect() or df.where(F.col(key).isNull()).limit(1).collect()):
+        raise ValueError(f"{key} is not a key: {bad[0]}")
     if url:
-        (df.write.mode("overwrite").option("truncate", "true")
-         .option("numPartitions", str(max_connections)).option("batchsize", str(batch_size))
-         .jdbc(url, table, properties=properties or {}))
-    elif path:
+        types = ", ".join(f"{c} JSON" for c in JSON_COLUMNS if c in df.columns)
+        w = df.write.mode("overwrite").option("truncate", "true")
+        if types:
+            w = w.option("createTableColumnTypes", types)
+        w.option("numPartitions", str(max_connections)).option("batchsize", str(batch_size)).jdbc(url, table, properties=properties or {})
+    else:
         w = df.write.mode("overwrite")
         if fmt == "csv":
             w = w.option("header", "true")
         w.format(fmt).save(path)
-    else:
-        raise ValueError("need a JDBC url or an output path")

@@ -15,6 +15,8 @@ the day among the user's days; items = the ``lineitem`` rows of order ``event_id
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,34 +25,9 @@ from clickmodel.functions.keys import hash_key
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's read-only table; one file listing/footer read per application."""
-    path = f"{sf_dir}/{name}.parquet"
-    try:
-        key = (spark.sparkContext.applicationId, path)
-    except Exception:  # sessions without a local SparkContext (Spark Connect): no memo
-        return spark.read.parquet(path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has task slots.
-
-    A small single-file table (one Parquet row group) scans as one task, which would run all
-    the per-row work downstream on one core. Large inputs already have many splits and are
-    returned untouched, so no shuffle is added at scale.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view of the plan; leave the scan as it is
-        return df
-    return df.repartition(slots) if splits < slots else df
+    """The driver's read-only table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _case(expr: str, mapping: dict, default: str | None = None) -> str:
@@ -81,7 +58,6 @@ def user_days(events: DataFrame) -> DataFrame:
 def items_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_id, items): the line items of each order, in line-number order (ties broken by
     the item fields, so the array is deterministic)."""
-    # not spread: the aggregation's own shuffle parallelises the work (measured faster)
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
                                                  "l_extendedprice")
     item = F.struct(F.col("l_partkey").cast("string").alias("item_id"),
@@ -174,7 +150,7 @@ def _raw_columns(with_items: bool) -> list[str]:
 
 def raw_events(spark: SparkSession, sf_dir: str, with_items: bool = True, duplicates: bool = True) -> DataFrame:
     """Raw daily export rows (schema ``clickmodel.schema.RAW_EVENT``)."""
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     n_pages = pages.select(F.count(F.lit(1))).scalar()
 
@@ -276,3 +252,16 @@ def user_snapshot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.col("c_nationkey").cast("long").alias("id"), F.col("n_name").alias("name")))
         .alias("audiences"),
     )
+
+
+def land_exports(spark: SparkSession, raw: DataFrame, root: str, day: str = "event_date") -> None:
+    """Writes raw rows as one export per value of ``day`` (YYYYMMDD): ``events_YYYYMMDD.parquet``
+    folders, the landing zone's form. All of a call's days are written by one job."""
+    from clickmodel.sources.files import _file_system, list_names
+    staging = f"{root}/__landing-{uuid.uuid4().hex}"
+    raw.withColumn("__day", F.col(day)).write.partitionBy("__day").parquet(staging)
+    path, fs = _file_system(spark, root)
+    for name in list_names(spark, staging):
+        if name.startswith("__day="):
+            target = f"{root}/events_{name[len('__day='):]}.parquet"
+            fs.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{staging}/{name}"), spark._jvm.org.apache.hadoop.fs.Path(target))

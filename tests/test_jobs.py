@@ -9,7 +9,6 @@ from clickmodel.plans.jobs import run_base, run_sessions, run_staging
 from clickmodel.plans.planner import plan_dates, plan_files
 from clickmodel.sources import testdata as TD
 from clickmodel.sources.files import list_partition_dates, list_raw_dates, raw_file_name
-from clickmodel.streaming.landing import stream_base_events
 
 from conftest import SF_SMALL
 
@@ -91,31 +90,95 @@ def test_base_staging_sessions_end_to_end_and_idempotent(spark, tmp_dir):
     assert {"session_source", "session_event_count", "is_first_session"} <= set(ses.columns)
 
 
-def test_streaming_matches_batch(spark, tmp_dir):
-    raw_dir = f"{tmp_dir}/raw"
-    _land(spark, raw_dir)
-    q = stream_base_events(spark, raw_dir, f"{tmp_dir}/sbase", checkpoint=f"{tmp_dir}/ckpt")
-    q.awaitTermination(300)
-    run_base(spark, raw_dir, f"{tmp_dir}/bbase")
-    cols = ["event_date_dt", "event_timestamp", "event_name", "session_id"]
-    s = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/sbase").select(*cols).collect()))
-    b = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/bbase").select(*cols).collect()))
-    assert s == b and len(s) > 0
-    q2 = stream_base_events(spark, raw_dir, f"{tmp_dir}/sbase", checkpoint=f"{tmp_dir}/ckpt")
-    q2.awaitTermination(300)                           # nothing new landed: same output
-    assert sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/sbase").select(*cols).collect())) == s
-
-
-def test_bad_dates_are_quarantined_not_partitioned(spark, tmp_dir):
+def test_bad_dates_are_quarantined_and_not_planned_again(spark, tmp_dir):
     raw_dir = f"{tmp_dir}/raw"
     _land(spark, raw_dir, days=DAYS[:1])
     # a second export for day 2 whose rows carry a malformed event_date
-    raw = TD.raw_events(spark, SF_SMALL, with_items=False).where(F.col("event_date") == "20240102")
+    raw = TD.raw_events(spark, SF_SMALL).where(F.col("event_date") == "20240102")
     raw.withColumn("event_date", F.lit("2024-01-02")).coalesce(1).write.parquet(f"{raw_dir}/{raw_file_name(DAYS[1])}")
-    rep = run_base(spark, raw_dir, f"{tmp_dir}/base", quarantine_prefix=f"{tmp_dir}/quarantine")
-    assert {(r.date, r.written) for r in rep.collect()} == {(DAYS[0], True), (DAYS[1], False)}
+    rep = run_base(spark, raw_dir, f"{tmp_dir}/base")
+    n = raw.count()
+    assert {(r.date, r.written, r.n_quarantined) for r in rep.collect()} == {(DAYS[0], True, 0), (DAYS[1], False, n)}
     assert _dates(list_partition_dates(spark, f"{tmp_dir}/base")) == DAYS[:1]
-    assert spark.read.parquet(f"{tmp_dir}/quarantine").count() == raw.count()
+    assert {r.status for r in run_base(spark, raw_dir, f"{tmp_dir}/base").collect()} == {"skip"}
+    assert spark.read.parquet(f"{tmp_dir}/base/_quarantine").count() == n
+
+
+def test_late_rows_join_their_day_and_are_reported(spark, tmp_dir):
+    raw_dir, base = f"{tmp_dir}/raw", f"{tmp_dir}/base"
+    _land(spark, raw_dir, days=DAYS[:1])
+    run_base(spark, raw_dir, base)
+    n1 = spark.read.parquet(base).count()
+    raw = TD.raw_events(spark, SF_SMALL)
+    late = TD.raw_events(spark, SF_SMALL, duplicates=False).where(F.col("event_date") == "20240101").limit(2).withColumn("event_bundle_sequence_id", F.lit(-1).cast("long")) \
+        .withColumn("event_timestamp", F.col("event_timestamp") + 1)
+    early = raw.where(F.col("event_date") == "20240103").limit(1)
+    raw.where(F.col("event_date") == "20240102").unionByName(late).unionByName(early).coalesce(1) \
+        .write.parquet(f"{raw_dir}/{raw_file_name(DAYS[1])}")
+    rep = {r.date: r for r in run_base(spark, raw_dir, base).collect()}
+    assert rep[DAYS[0]].n_rows == n1 + 2 and rep[DAYS[0]].written
+    assert rep[DAYS[2]].status == "other" and rep[DAYS[2]].n_rows == 1
+    # the early row did not make its day a processed one: the day's own export still comes
+    _land(spark, raw_dir, days=DAYS[2:])
+    rep = {r.date: r for r in run_base(spark, raw_dir, base).collect()}
+    assert rep[DAYS[2]].status == "process" and rep[DAYS[2]].n_rows > 1
+    assert rep[DAYS[2]].n_rows == raw.where(F.col("event_date") == "20240103").select("event_bundle_sequence_id").distinct().count()
+
+
+def test_sessions_of_a_day_without_rows_are_removed(spark, tmp_dir):
+    raw_dir, base, stg, ses = (f"{tmp_dir}/{x}" for x in ("raw", "base", "stg", "ses"))
+    _land(spark, raw_dir, days=DAYS[:2])
+    run_base(spark, raw_dir, base)
+    run_staging(spark, base, stg)
+    assert _dates(run_sessions(spark, stg, None, ses, start=DAYS[0], days=2)) == DAYS[:2]
+    staged = spark.read.parquet(stg).withColumn("event_name", F.when(F.col("event_date_dt") == DAYS[0], "first_visit").otherwise(F.col("event_name")))
+    staged.write.partitionBy("event_date_dt").parquet(f"{tmp_dir}/stg2")
+    assert _dates(run_sessions(spark, f"{tmp_dir}/stg2", None, ses, start=DAYS[0], days=2)) == DAYS[1:2]
+    assert _dates(list_partition_dates(spark, ses, "session_start_date")) == DAYS[1:2]
+
+
+def test_listing_is_one_level_and_starts_no_task(spark, tmp_dir):
+    import pytest
+    _land(spark, f"{tmp_dir}/raw", days=DAYS[:1])
+    TD.raw_events(spark, SF_SMALL).limit(1).write.parquet(f"{tmp_dir}/raw/archive/events_20231231.parquet")
+    spark.sparkContext.setJobGroup("listing", "")
+    listed = list_raw_dates(spark, f"{tmp_dir}/raw")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("listing") == []
+    spark.sparkContext.setJobGroup("rest", "")
+    assert _dates(listed) == DAYS[:1]
+    with pytest.raises(Exception, match="nosuchscheme"):       # only a missing path is an empty listing
+        list_raw_dates(spark, "nosuchscheme://x/raw")
+
+
+def test_files_per_day_follow_size_not_shuffle_partitions(spark, tmp_dir):
+    import glob
+    from clickmodel.sources.sinks import write_partitioned
+    df = spark.range(3000).selectExpr("date_add(DATE'2024-01-01', CAST(id % 30 AS INT)) AS d", "id").repartition(40)
+    days = write_partitioned(df, f"{tmp_dir}/out", "d")
+    assert len(days) == 30
+    assert len(glob.glob(f"{tmp_dir}/out/d=*/part-*.parquet")) <= 60
+
+
+def test_read_days_keeps_undeclared_members_and_accepts_flag_types(spark, tmp_dir):
+    from clickmodel.sources.files import read_days
+    raw = TD.raw_events(spark, SF_SMALL).limit(3)
+    for day, kind in zip(DAYS, ("bigint", "int", "string"), strict=True):
+        flags = F.col("privacy_info").withField("analytics_storage", F.col("privacy_info.analytics_storage").cast(kind))
+        items = F.array(F.struct(F.lit("a").alias("item_id"), F.lit("brand").alias("item_brand")))
+        raw.withColumn("privacy_info", flags).withColumn("items", items).withColumn("extra", F.lit(1)) \
+            .write.parquet(f"{tmp_dir}/raw/{raw_file_name(day)}")
+    one = read_days(spark, f"{tmp_dir}/raw", DAYS[:1])
+    assert dict(one.dtypes)["privacy_info"].startswith("struct<analytics_storage:bigint")
+    got = read_days(spark, f"{tmp_dir}/raw", DAYS)
+    assert dict(got.dtypes)["privacy_info"].startswith("struct<analytics_storage:string") and "extra" in got.columns
+    assert got.where("items[0].item_brand = 'brand' and items[0].price is null").count() == 9
+
+
+def test_load_refuses_repeated_keys(spark, tmp_dir):
+    import pytest
+    from clickmodel.sources.sinks import load_warehouse
+    with pytest.raises(ValueError, match="event_key"):
+        load_warehouse(spark.createDataFrame([("a",), ("a",)], "event_key string"), path=f"{tmp_dir}/x")
 
 
 def test_session_with_only_boundary_events_has_no_row(spark):

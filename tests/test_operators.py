@@ -67,8 +67,32 @@ def test_dedup_deterministic_survivor(spark):
     rows = [(d, 1, "u", 1, "e", 10, [("k", ("v", None))], "zzz"), (d, 1, "u", 1, "e", 10, [("k", ("v", None))], "aaa"),
             (d, 1, "u", 1, "e", 10, [("k", ("w", None))], "mmm"), (d, 1, "u", None, "e", 10, None, "n1"),
             (d, 1, "u", None, "e", 10, None, "n0")]
-    out = sorted(r.payload for r in dedup_events(spark.createDataFrame(rows, schema)).collect())
+    df = spark.createDataFrame(rows, schema)
+    out = sorted(r.payload for r in dedup_events(df, order=["payload"]).collect())
     assert out == ["aaa", "mmm", "n0"]
+    # by default two hashes of the row decide: the same survivors however the rows are dealt out
+    runs = {tuple(sorted(r.payload for r in dedup_events(df.repartition(n)).collect())) for n in (1, 2, 5)}
+    assert len(runs) == 1 and len(runs.pop()) == 3
+
+
+def test_dedup_keeps_events_that_differ_in_an_undeclared_value_type(spark):
+    from clickmodel.operators.base import base_model
+    raw = TD.raw_events(spark, SF_SMALL, duplicates=False).limit(1)
+    value = "named_struct('key', 'score', 'value', named_struct('string_value', CAST(NULL AS STRING), 'int_value', CAST(NULL AS BIGINT), 'double_value', {}))"
+    two = raw.withColumn("event_params", F.expr(f"array({value.format('1.5D')})")).unionByName(
+        raw.withColumn("event_params", F.expr(f"array({value.format('2.5D')})")))
+    assert base_model(two).count() == 2 and base_model(two.unionByName(two)).count() == 2
+
+
+def test_base_model_shuffles_raw_rows_once(spark):
+    from clickmodel.operators.base import base_model
+    raw = spark.createDataFrame(TD.raw_events(spark, SF_SMALL).limit(5).collect(), TD.raw_events(spark, SF_SMALL).schema)
+    plan = base_model(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    sort = next(line for line in plan.splitlines() if " Sort [" in line)
+    assert sort.count(" ASC ") <= 9
+    shuffled = plan[plan.index("Exchange hashpartitioning"):]
+    assert "page_title" not in shuffled.split("Project [")[0]
 
 
 def test_first_event_per_session_ties(spark):
@@ -93,20 +117,24 @@ def test_date_windows(spark):
     assert date_window(df).count() == 10
 
 
-def test_left_join_skew_safe_matches_plain(spark):
+def test_left_join_with_repeated_keys_matches_plain(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, l int")
     right = spark.createDataFrame([("a", "x")] * 50 + [("b", "y"), ("b", "z"), (None, "n")], "k string, r string")
     plain = sorted(map(tuple, left.join(right, "k", "left").collect()), key=str)
-    for mode in (True, False, "auto"):
-        got = sorted(map(tuple, left_join(left, right, "k", skew_safe=mode).select("k", "l", "r").collect()), key=str)
+    for repeated in (True, False):
+        got = sorted(map(tuple, left_join(left, right, "k", repeated).select("k", "l", "r").collect()), key=str)
         assert got == plain
-    # "auto" switches to the split form once a key passes the hot-key threshold
-    from clickmodel.operators.joins import max_rows_per_key
-    assert max_rows_per_key(right, "k") == 50
-    hot = left_join(left, right, "k", hot_key_rows=10)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in hot and "LeftAnti" in hot
-    cold = left_join(left, right, "k", hot_key_rows=100)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" not in cold
+
+
+def test_left_join_hot_right_key_starts_no_job_when_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    left = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS k", "id AS l")
+    right = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS k", "id AS r")
+    spark.sparkContext.setJobGroup("build-join", "")
+    plain, split = left_join(left, right, "k"), left_join(left, right, "k", repeated_keys=True)
+    assert tracker.getJobIdsForGroup("build-join") == []
+    spark.sparkContext.setJobGroup("run-join", "")
+    assert plain.count() == split.count() == 1000 * 300 + 2000
 
 
 def test_gclid_attribution_rules(spark):

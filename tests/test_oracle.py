@@ -8,8 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from clickmodel import registry as R
 from conftest import SF_SMALL
 
+WRITES_FILES = {"read_days", "overwrite_days", "quarantine_days", "list_raw_dates", "list_processed_dates",
+                "read_partitioned", "partitions_written"}
 TABLES = ["nation", "customer", "orders", "lineitem", "events", "pages"]
 
 
@@ -36,10 +39,10 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(R.queries()) == set(R.oracle_sql()) and set(R.queries()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(R.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = con.sql(E.oracle_sql()[name])
@@ -71,7 +74,9 @@ SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "d
 
 def test_column_types_match_oracle(spark, con):
     bad = []
-    for name, fn in E.queries().items():
+    for name, fn in R.queries().items():
+        if name in WRITES_FILES:
+            continue  # compared above; building them runs jobs
         spark_types = dict(fn(spark, SF_SMALL).dtypes)
         rel = con.sql(E.oracle_sql()[name])
         duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}

@@ -6,7 +6,6 @@ from clickmodel.operators import extract_params, normalize_items, stage_events,
 from clickmodel.operators.base import base_events
 from clickmodel.operators.dedup import dedup_events
 from clickmodel.operators.sessions import date_window
-from clickmodel.schema import RAW_EVENT
 
 
 def _plan(df) -> str:
@@ -18,7 +17,7 @@ def _raw_files(spark, tmp_dir):
     from conftest import SF_SMALL
     raw = TD.raw_events(spark, SF_SMALL, with_items=True, duplicates=False)
     raw.write.mode("overwrite").parquet(f"{tmp_dir}/raw")
-    return spark.read.schema(RAW_EVENT).parquet(f"{tmp_dir}/raw")
+    return spark.read.parquet(f"{tmp_dir}/raw")
 
 
 def test_param_and_item_operators_do_not_shuffle(spark, tmp_dir):

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from clickmodel.operators.serving import serving_projection  # noqa: E402
 from clickmodel.operators.sessions import build_sessions, date_window  # noqa: E402
 from clickmodel.operators.staging import stage_events  # noqa: E402
-from clickmodel.plans.jobs import base_model, run_base, run_staging  # noqa: E402
+from clickmodel.operators.base import base_model  # noqa: E402
+from clickmodel.plans.jobs import run_base, run_staging  # noqa: E402
 from clickmodel.session import local_session  # noqa: E402
 from clickmodel.sources import testdata as TD  # noqa: E402
 from clickmodel.sources.files import raw_file_name, read_days, read_partitioned  # noqa: E402
