@@ -7,9 +7,10 @@ Normalised content is the text with NULL read as empty: any other normalisation
 the count. The tokenizer digest covers the vocabulary file's bytes and the library version, so
 another tokenizer or version never meets old counts.
 
-Encoding keeps a count for each space-delimited chunk of a text. A chunk boundary is a single
-space next to a non-space character, where the byte-level pre-tokenizer always splits; texts
-with other runs of white space, or with a special string, are encoded whole.
+Counts are those of the tokenizers library for the file. Where the file is a plain byte-level
+BPE, texts of Latin letters are counted by tiktoken on the very same vocabulary, several times
+faster; all other texts, and those with a special string, go to tokenizers itself. The first text
+of every batch is counted both ways, and a difference turns the fast way off.
 
 Defined results: NULL and empty texts have 0 bytes and 0 tokens; repeated rows, also with one
 doc_id, each get their row; NULL ids stay; an empty table gives an empty result. Extra columns
@@ -19,6 +20,7 @@ are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 from pathlib import Path
@@ -30,44 +32,64 @@ from pyspark.sql import functions as F
 from clickmodel.llm import scratch
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens bigint"
-MEMO_CHUNKS = 500_000  # chunks whose counts a worker remembers; the memo is then emptied
-_WIDE_SPACE = re.compile(r"\s \s")
-_COUNTERS: dict[tuple[str, str], ChunkCounter] = {}
+BATCH_TEXTS = 256
+# Fixed value: the split pattern of byte-level pre-tokenizers with use_regex.
+BYTE_LEVEL_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_OTHER_SCRIPT = re.compile("[^\x00-\u024f]")
+_COUNTERS: dict[str, TokenCounter] = {}
 
 
-class ChunkCounter:
-    """Counts tokens of whole texts with the tokenizers library and a memo of chunks."""
+def byte_alphabet() -> dict[str, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: a printable character for
+    itself, the other bytes in order from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class TokenCounter:
+    """Counts the tokens of whole texts as the tokenizers library does."""
 
     def __init__(self, spec: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(spec)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        pre = self.tokenizer.pre_tokenizer
-        self.chunked = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and self.tokenizer.normalizer is None
-        self.memo: dict[str, int] = {}
-
-    def encode(self, texts: list[str]) -> list[int]:
+        self.fast = self._fast(json.loads(spec))
+
+    @staticmethod
+    def _fast(spec: dict):
+        """The same vocabulary in tiktoken, where it is a plain byte-level BPE, else None."""
+        import tiktoken
+
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        plain = model["type"] == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+        if not plain or spec.get("normalizer") or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+            return None
+        special = {t["content"] for t in spec.get("added_tokens", [])}
+        code = byte_alphabet()
+        ranks = {bytes(code[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+        merged = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        order = [model["vocab"].get("".join(m)) for m in merged]
+        if None in order or order != sorted(order):  # ranks must rise with the merges
+            return None
+        return tiktoken.Encoding("same", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def slow(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def count(self, texts: list[str]) -> list[int]:
-        out, whole = [0] * len(texts), []
-        for i, text in enumerate(texts):
-            if not self.chunked or any(s in text for s in self.special) or _WIDE_SPACE.search(text):
-                whole.append(i)
-                continue
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + c for c in rest]]
-            memo = self.memo
-            if new := [c for c in set(chunks) if c not in memo]:
-                if len(memo) + len(new) > MEMO_CHUNKS:
-                    memo.clear()
-                    new = list(set(chunks))
-                memo.update(zip(new, self.encode(new), strict=True))
-            out[i] = sum(map(memo.__getitem__, chunks))
-        for i in whole:
-            out[i] = self.encode([texts[i]])[0]
-        return out
+        if self.fast and texts:
+            simple = [not _OTHER_SCRIPT.search(t) and not any(s in t for s in self.special) for t in texts]
+            out = [len(self.fast.encode_ordinary(t)) if ok else None for t, ok in zip(texts, simple, strict=True)]
+            first = next((i for i, ok in enumerate(simple) if ok), None)
+            if first is None or self.slow([texts[first]]) == [out[first]]:
+                rest = [i for i, ok in enumerate(simple) if not ok]
+                for i in rest:
+                    out[i] = self.slow([texts[i]])[0]
+                return out
+            self.fast = None
+        return [n for t in texts for n in self.slow([t])]
 
 
 def tokenizer_digest(spec: bytes) -> str:
@@ -80,15 +102,20 @@ def _encode_misses(spec, version: str):
     """``spec``: broadcast vocabulary file (one file of fixed size, not corpus data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (version, "chunks")
-        if key not in _COUNTERS:
-            _COUNTERS[key] = ChunkCounter(spec.value)
-        for b in batches:
-            counts = _COUNTERS[key].count([t.as_py() for t in b.column("text")])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([version] * b.num_rows, pa.string()), b.column("digest"), pa.array(counts, pa.int64())],
-                ["tokenizer", "digest", "n_tokens"],
-            )
+        if version not in _COUNTERS:
+            _COUNTERS[version] = TokenCounter(spec.value)
+        seen: set[bytes] = set()  # rows alike in id and text meet in one task
+        for whole in batches:
+            for a in range(0, whole.num_rows, BATCH_TEXTS):
+                b = whole.slice(a, BATCH_TEXTS)
+                digests = b.column("digest").to_pylist()
+                new = [k for k, x in enumerate(digests) if x not in seen and not seen.add(x)]
+                b = b.take(pa.array(new, pa.int64())) if len(new) < len(digests) else b
+                counts = _COUNTERS[version].count(b.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([version] * b.num_rows, pa.string()), b.column("digest"), pa.array(counts, pa.int64())],
+                    ["tokenizer", "digest", "n_tokens"],
+                )
 
     return run
 
