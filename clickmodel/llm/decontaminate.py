@@ -71,7 +71,8 @@ def _automaton(key: str, broadcast):
         a = ahocorasick.Automaton()
         for pattern, items in broadcast.value:
             a.add_word(f" {pattern.decode('latin-1')} ", (pattern.count(b" ") + 1, tuple(items)))
-        a.make_automaton()
+        if len(a):
+            a.make_automaton()
         _AUTOMATA.clear()
         _AUTOMATA[key] = a
     return _AUTOMATA[key]
@@ -84,7 +85,7 @@ def scan(text: str | None, automaton) -> tuple[int, list[tuple[int, int]], set]:
         return 0, [], set()
     normal = " " + b" ".join(words).decode("latin-1") + " "
     ends, sizes, items = [], [], set()
-    for end, (size, ids) in automaton.iter(normal):
+    for end, (size, ids) in automaton.iter(normal) if len(automaton) else ():
         ends.append(end)
         sizes.append(size)
         items.update(ids)

@@ -1,8 +1,8 @@
 """Line dedup over content-defined chunks of lines.
 
 A text is cut into lines, and lines into chunks at content-defined boundaries: a line ends a
-chunk when a rolling hash over the hashes of it and the lines before it falls on one value in
-``ONE_IN``. Boundaries move with their lines, so an inserted line changes the chunk it falls
+chunk when a rolling hash over the hashes of it and the line before it falls on one value in
+``ONE_IN``, and that of the line before did not. Boundaries move with their lines, so an inserted line changes the chunk it falls
 into and at most the next few. A chunk of several lines that stands elsewhere in the corpus too
 is removed, all but its first place (least id, then earliest); chunks are found by hash and
 removed after comparing bytes.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from clickmodel.llm import scratch
 from clickmodel.llm.rules import SPACES
 
-ONE_IN = 4  # a chunk has this many lines on average, besides the window's start
+ONE_IN = 3  # chunks then have 4.5 lines on average
 ROLL = 2  # lines in the rolling window
 FACTOR, PRIME = 31, 1_000_003
 
@@ -36,12 +36,18 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
 
 
-def ends_chunk(hashes: Column, i: Column, one_in: int, roll: int) -> Column:
-    """Whether line ``i`` (from 1) ends a chunk, by the polynomial of the last ``roll`` hashes."""
+def rolls_to_zero(hashes: Column, i: Column, one_in: int, roll: int) -> Column:
+    """Whether the polynomial of the last ``roll`` hashes up to line ``i`` (from 1) falls on 0."""
     rolled = F.get(hashes, i - roll)
     for k in range(roll - 1, 0, -1):
         rolled = rolled * FACTOR % PRIME + F.get(hashes, i - k)
-    return (i == F.size(hashes)) | ((i >= roll) & (rolled % PRIME % one_in == 0))
+    return (i >= roll) & (rolled % PRIME % one_in == 0)
+
+
+def ends_chunk(hashes: Column, i: Column, one_in: int, roll: int) -> Column:
+    """Whether line ``i`` ends a chunk: the first line of each run of lines that roll to zero
+    (so a chunk has two lines at least), and the last line."""
+    return (i == F.size(hashes)) | (rolls_to_zero(hashes, i, one_in, roll) & ~rolls_to_zero(hashes, i - 1, one_in, roll))
 
 
 def chunks(docs: DataFrame, one_in: int = ONE_IN, roll: int = ROLL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -32,7 +32,7 @@ from clickmodel.llm.hashing import SPACE, U, Words, mix
 WORD_BUCKETS, PAIR_BUCKETS, GRAM_BUCKETS = 1 << 15, 1 << 14, 1 << 15
 BUCKETS = WORD_BUCKETS + PAIR_BUCKETS + GRAM_BUCKETS
 GRAMS = (3, 4)
-DIMENSIONS, EPOCHS, BATCH, RATE, SEED = 10, 12, 32, 1.0, 7
+DIMENSIONS, STEPS, BATCH, RATE, SEED = 10, 2000, 32, 1.0, 7
 SAMPLE_DOCS = 4000
 THRESHOLD = 0.7
 BATCH_TEXTS = 256
@@ -96,14 +96,14 @@ class Classifier:
         self.out = np.zeros((2, DIMENSIONS), np.float32)
         self.bias = np.zeros(2, np.float32)
 
-    def train(self, labels: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS, rate: float = RATE) -> Classifier:
-        steps, done = max(1, epochs * -(-len(rows) // BATCH)), 0
-        for _ in range(epochs if len(rows) else 0):
-            order = self.rng.permutation(len(rows))
-            for s in range(0, len(order), BATCH):
-                some = order[s : s + BATCH]
-                self._step(labels[some], [rows[k] for k in some], rate * (1 - done / steps))
-                done += 1
+    def train(self, labels: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, rate: float = RATE) -> Classifier:
+        """``steps`` batches, the rate falling evenly to 0, in passes over the shuffled rows."""
+        order = np.zeros(0, np.int64)
+        for done in range(steps if len(rows) else 0):
+            if not len(order):
+                order = self.rng.permutation(len(rows))
+            some, order = order[:BATCH], order[BATCH:]
+            self._step(labels[some], [rows[k] for k in some], rate * (1 - done / steps))
         return self
 
     def _step(self, labels, rows, rate):

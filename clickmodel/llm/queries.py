@@ -134,7 +134,8 @@ OP7_SQL = """
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, text, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''),
 l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p, len(ls) AS n FROM d),
 h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM l),
-e AS (SELECT *, p = n OR (p >= 2 AND ((lag(h) OVER w * 31) % 1000003 + h) % 1000003 % 4 = 0) AS ends FROM h WINDOW w AS (PARTITION BY r ORDER BY p)),
+z AS (SELECT *, p >= 2 AND ((lag(h) OVER w * 31) % 1000003 + h) % 1000003 % 3 = 0 AS zero FROM h WINDOW w AS (PARTITION BY r ORDER BY p)),
+e AS (SELECT *, p = n OR (zero AND NOT coalesce(lag(zero) OVER w, false)) AS ends FROM z WINDOW w AS (PARTITION BY r ORDER BY p)),
 k AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM e),
 ch AS (SELECT r, doc_id, c, min(p) AS pos, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS chunk FROM k GROUP BY r, doc_id, c),
 rk AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) AS place FROM ch WHERE n > 1 AND trim(chunk, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''),
