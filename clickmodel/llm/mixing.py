@@ -139,18 +139,20 @@ def _round_copies(cap: int, n_out: int):
 
 def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """``keep`` plus size, source_size, target, copies and taken of every document."""
-    rows = docs.select(*keep, F.col(source_col).alias("_source"), F.col(id_col).alias("_id"), word_count(F.col(text_col)).alias("size"))
+    held = F.struct(*[F.col(c) for c in keep]).alias("_keep")
+    rows = docs.select(held, F.col(source_col).alias("_source"), F.col(id_col).alias("_id"), word_count(F.col(text_col)).alias("size"))
     counts = rows.groupBy(F.col("_source").alias("source"), "size").agg(F.count("*").alias("n"))
     counts = scratch.written(counts, "sizes")
     solved = solve_multipliers(counts, scratch.written(source_targets(counts, weights, cap), "targets"), cap)
     rows = rows.join(solved, F.col("_source").eqNullSafe(F.col("source")))
     chunks = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / CHUNK_ROWS))
-    out = [*keep, "size", "source_size", "target"]
+    out = ["_keep", "size", "source_size", "target"]
     rows = rows.select(*out, "_source", F.pmod(F.xxhash64("_id"), chunks).alias("_chunk"), F.col("multiplier").alias("_multiplier"), "_id")
     rows = rows.repartition("_source", "_chunk").sortWithinPartitions("_source", "_chunk", F.desc("size"), "_id")
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(out)]] + ["copies bigint"])
     taken = rows.mapInArrow(_round_copies(cap, len(out)), schema)
-    return taken.withColumn("taken", F.col("copies") * F.col("size"))
+    made = ["size", "source_size", "target", "copies"]
+    return taken.select(*[F.col("_keep").getField(c).alias(c) for c in keep], *made, (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
