@@ -72,6 +72,7 @@ def session_start(df: DataFrame) -> DataFrame:
     """Project the first event of each session to session-start attributes."""
     missing = {c: F.lit(None).cast("string") for c in OPTIONAL_DEVICE_COLUMNS if c not in df.columns}
     df = df.withColumns(missing) if missing else df
+    # The columns of the session dimension, in its order.
     return df.select(
         "session_key",
         F.col("event_date_dt").alias("session_start_date"),
