@@ -9,7 +9,8 @@ lies over many tasks. Each node proposes the most similar of its neighbours.
 
 Proposals are confirmed on full shingle sets in three rounds: every node with the least node of
 its proposed group, then the proposals that still cross groups, and last, in each region with
-several groups, all nodes outside its largest group against all others. Sketches (four bits of
+several groups, all nodes outside its largest group against all others (inside tasks, which
+return the links alone). Sketches (four bits of
 each signature value) rule out pairs far below the threshold; nothing else is left out, and
 nodes already in one group need no further test.
 
@@ -201,41 +202,76 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         old_r, old_n, old_p = r[-NEIGHBOURS:], n[-NEIGHBOURS:], p[-NEIGHBOURS:]
 
 
-def _compare_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of different groups in a region; rows come sorted by (region, salt, kind).
+def enough(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    both = int((large[at] == small).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
-    kind 0: nodes outside the region's largest group, in every salt; kind 1: nodes of that group."""
-    key, held = None, []
 
-    def pairs(x, y):
-        for i in range(0, len(x[0]), 64):
-            near = _SAME[x[2][i : i + 64, None, :] ^ y[2][None, :, :]].sum(2, dtype=np.int16)
-            for u, v in zip(*np.nonzero((near >= LEAST_EQUAL) & (x[1][i : i + 64, None] != y[1][None, :])), strict=True):
-                s, t = int(x[0][i + u]), int(y[0][v])
-                yield (min(s, t), max(s, t)), int(near[u, v])
+class _Block:
+    """Some rows of one region, as arrays."""
 
-    for b in batches:
-        if not b.num_rows:
-            continue
-        region, salt, kind = (b.column(c).to_numpy() for c in ("region", "salt", "kind"))
-        node, group = b.column("node").to_numpy(), b.column("group").to_numpy()
-        place = np.frombuffer(b"".join(b.column("place").to_pylist()), np.uint8).reshape(-1, VALUES // 2)
-        cut = np.flatnonzero(np.r_[True, (region[1:] != region[:-1]) | (salt[1:] != salt[:-1]) | (kind[1:] != kind[:-1])])
-        for s, e in zip(cut, np.r_[cut[1:], len(region)], strict=True):
-            if (region[s], salt[s]) != key:
-                key, held = (region[s], salt[s]), []
-            for i in range(s, e, 256):
-                now = (node[i : min(e, i + 256)], group[i : min(e, i + 256)], place[i : min(e, i + 256)])
-                edges = {}
-                if kind[s] == 0 and salt[s] == 0:
-                    edges.update(pairs(now, now))
-                if kind[s] == 1 or salt[s] == 0:
-                    for old in held:
-                        edges.update(pairs(now, old))
-                if kind[s] == 0:
-                    held.append(now)
-                if edges:
-                    yield _edge_batch(edges)
+    def __init__(self, b: pa.RecordBatch, s: int, e: int):
+        cut = b.slice(s, e - s)
+        self.node, self.group = cut.column("node").to_pylist(), cut.column("group").to_pylist()
+        self.place = np.frombuffer(b"".join(cut.column("place").to_pylist()), np.uint8).reshape(-1, VALUES // 2)
+        self.regions = np.frombuffer(b"".join(cut.column("regions").to_pylist()), np.uint64).reshape(-1, TREES)
+        self.items = [np.frombuffer(x, np.uint64) for x in cut.column("items").to_pylist()]
+
+
+def _compare_rest(percent: int):
+    """Links between different groups in a region; rows come sorted by (region, salt, kind).
+
+    kind 0: nodes outside the region's largest group, in every salt; kind 1: nodes of that group.
+    A pair is tested on its full sets, in the first tree in which it shares a region, unless this
+    task has already joined its groups."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, root = None, [], {}
+
+        def find(g):
+            while (up := root.get(g, g)) != g:
+                root[g] = g = root.get(up, up)
+            return g
+
+        def links(x: _Block, y: _Block, tree: int) -> dict:
+            out = {}
+            for u in range(len(x.node)):
+                near = _SAME[x.place[u] ^ y.place].sum(1, dtype=np.int16)
+                first = (x.regions[u] == y.regions).argmax(1) == tree
+                for v in np.flatnonzero((near >= LEAST_EQUAL) & first).tolist():
+                    g, h = find(x.group[u]), find(y.group[v])
+                    if g != h and enough(x.items[u], y.items[v], percent):
+                        root[max(g, h)] = min(g, h)
+                        out[min(x.node[u], y.node[v]), max(x.node[u], y.node[v])] = int(near[v])
+            return out
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            region, salt, kind = (b.column(c).to_numpy() for c in ("region", "salt", "kind"))
+            cut = np.flatnonzero(np.r_[True, (region[1:] != region[:-1]) | (salt[1:] != salt[:-1]) | (kind[1:] != kind[:-1])])
+            for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(region)], strict=True):
+                if (region[s], salt[s]) != key:
+                    key, held, root = (region[s], salt[s]), [], {}
+                tree = int(region[s]) & (TREES - 1)
+                for i in range(s, e, 256):
+                    now, edges = _Block(b, i, min(e, i + 256)), {}
+                    if kind[s] == 0 and salt[s] == 0:
+                        edges.update(links(now, now, tree))
+                    if kind[s] == 1 or salt[s] == 0:
+                        for old in held:
+                            edges.update(links(now, old, tree))
+                    if kind[s] == 0:
+                        held.append(now)
+                    if edges:
+                        yield _edge_batch(edges)
+
+    return run
 
 
 SETS = "node bigint, items binary"
@@ -256,11 +292,7 @@ def _confirm(percent: int):
         for b in batches:
             good = []
             for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                k = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[k] == small).sum())
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+                good.append(enough(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(good, pa.bool_())], ["a", "b", "linked"])
 
     return run
@@ -319,10 +351,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, parts: int | None =
     own = F.pmod(F.xxhash64("node"), salts)
     rest = rest.select("region", "place", "node", "group", (F.col("group") == F.col("main")).cast("int").alias("kind"),
                        F.explode(F.when(F.col("group") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), salts - 1))).alias("salt"))
+    rest = rest.join(nodes.select("node", "regions"), "node").join(sets, "node")
     rest = rest.repartition("region", "salt").sortWithinPartitions("region", "salt", "kind", "node")
-    found = rest.mapInArrow(_compare_rest, EDGES).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    last = confirm(scratch.written(found, "rest"), sets, percent)
-    labels = connected(tested.unionByName(last).where("linked"))
+    last = rest.mapInArrow(_compare_rest(percent), EDGES).select("a", "b")
+    labels = connected(tested.where("linked").select("a", "b").unionByName(last))
     # The least id of each group, then of each row.
     known = nodes.select("node", "_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = known.groupBy("root").agg(F.min("_id").alias("component_id"))
