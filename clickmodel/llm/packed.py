@@ -6,16 +6,21 @@ the ids of a batch's documents, how many fingerprints each has there, and the fi
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
+from clickmodel.llm.hashing import mix
+
 CELLS = "part int, kind int, ids binary, counts binary, prints binary"
 HITS = "_id bigint, prints binary"
 
 
-def cells(ids: np.ndarray, prints: np.ndarray, parts: int, kind: int, wide: bool) -> pa.RecordBatch:
-    """Fingerprints of a batch, packed by part; ``ids`` names the document of each."""
-    part = (prints >> np.uint64(32)) % np.uint64(parts)
+def cells(ids: np.ndarray, prints: np.ndarray, parts: int, kind: int, wide: bool, by_id: bool = False) -> pa.RecordBatch:
+    """Fingerprints of a batch, packed by part; ``ids`` names the document of each. Parts are
+    slices of the fingerprints, or with ``by_id`` of the documents."""
+    part = (mix(ids.view(np.uint64)) if by_id else prints >> np.uint64(32)) % np.uint64(parts)
     order = np.lexsort((ids, part))
     ids, prints, part = ids[order], prints[order], part[order].astype(np.int64)
     new_doc = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (ids[1:] != ids[:-1])]) if len(ids) else np.zeros(0, np.int64)
@@ -51,3 +56,20 @@ def per_document(ids: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(ids[new], pa.int64()), pa.array([prints[a:b].tobytes() for a, b in zip(new, ends, strict=True)], pa.binary())], ["_id", "prints"]
     )
+
+
+def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document of cells dealt out by document and sorted by part."""
+    part, held = None, []
+
+    def close():
+        if held:
+            yield per_document(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    for b in batches:
+        for row in b.to_pylist():
+            if row["part"] != part:
+                yield from close()
+                part, held = row["part"], []
+            held.append(unpack(row, True))
+    yield from close()

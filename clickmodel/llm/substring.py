@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from clickmodel.llm import scratch
 from clickmodel.llm.hashing import Words
-from clickmodel.llm.packed import CELLS, HITS, cells, per_document, unpack
+from clickmodel.llm.packed import CELLS, HITS, cells, gather, unpack
 
 WINDOW, BLOCK = 50, 25
 BATCH_TEXTS = 2000  # texts hashed at a time
@@ -69,24 +69,27 @@ def _anchor_cells(parts: int, window: int, block: int):
     return run
 
 
-def _probe():
+def _probe(parts: int):
     """Streams the probes of a part past its index; rows come sorted by (part, kind).
 
     A probe hits when a smaller id has the block; the least owner of a block that was hit is
     reported as well, as its windows are what the others are compared with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, blocks, index, owners, touched = None, [], None, None, None
+        part, blocks, index, owners, touched, found = None, [], None, None, None, []
 
         def close():
             if index is not None and touched.any():
-                yield per_document(owners[touched], (np.uint64(part) << np.uint64(32)) | index[touched].astype(np.uint64))
+                found.append((owners[touched], index[touched]))
+            if found:
+                ids, prints = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield cells(ids, (np.uint64(part) << np.uint64(32)) | prints.astype(np.uint64), parts, 0, True, by_id=True)
 
         for b in batches:
             for row in b.to_pylist():
                 if row["part"] != part:
                     yield from close()
-                    part, blocks, index = row["part"], [], None
+                    part, blocks, index, found = row["part"], [], None, []
                 ids, prints = unpack(row, False)
                 if row["kind"] == 0:
                     blocks.append((ids, prints))
@@ -101,7 +104,7 @@ def _probe():
                 hit = (index[k] == prints) & (owners[k] < ids)
                 if hit.any():
                     touched[k[hit]] = True
-                    yield per_document(ids[hit], (np.uint64(part) << np.uint64(32)) | prints[hit].astype(np.uint64))
+                    found.append((ids[hit], prints[hit]))
         yield from close()
 
     return run
@@ -121,7 +124,7 @@ def _window_cells(parts: int, window: int, block: int):
                 for k in range(b.num_rows):
                     a, e = cut[k], cut[k + 1]
                     if a < e and words.counts[k] >= window:
-                        own = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in hits[k].values])
+                        own = np.frombuffer(hits[k].as_py(), np.uint64)
                         j = at[a:e][np.isin(keys[a:e], own)]
                         np.add.at(near, np.maximum(j - (window - block), words.first[k]), 1)
                         np.add.at(near, j + 1, -1)
@@ -137,7 +140,7 @@ def _window_cells(parts: int, window: int, block: int):
     return run
 
 
-def _covered():
+def _covered(parts: int):
     """Of each part's window fingerprints, those that a smaller id has too, per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +152,7 @@ def _covered():
                 index, owners = _least(ids, prints)
                 later = owners[np.searchsorted(index, prints)] < ids
                 if later.any():
-                    yield per_document(ids[later], prints[later])
+                    yield cells(ids[later], prints[later], parts, 0, True, by_id=True)
 
         for b in batches:
             for row in b.to_pylist():
@@ -183,7 +186,7 @@ def _cut(window: int):
                         if b.column("copy")[k].as_py():
                             s = start[a:e] - words.first[k]
                         else:
-                            own = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in prints.values])
+                            own = np.frombuffer(prints.as_py(), np.uint64)
                             s = start[a:e][np.isin(wide[a:e], own)] - words.first[k]
                         gone[s] += 1
                         np.add.at(gone, s + window, -1)
@@ -200,6 +203,12 @@ def _cut(window: int):
     return run
 
 
+def _by_document(found: DataFrame, parts: int, name: str) -> DataFrame:
+    """(_id, name): each document's fingerprints from cells packed by document."""
+    met = found.repartition(parts, "part").sortWithinPartitions("part")
+    return met.mapInArrow(gather, HITS).withColumnRenamed("prints", name)
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, spans, kept): word ranges of repeats and the words left.
 
@@ -221,15 +230,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, pa
     copies = scratch.written(copies.withColumn("copy", F.lit(True)), "copies")
     anchors = named.mapInArrow(_anchor_cells(parts, window, block), CELLS)
     met = anchors.repartition(parts, "part").sortWithinPartitions("part", "kind")
-    hits = scratch.written(met.mapInArrow(_probe(), HITS), "anchor-hits")
-    first_hits = hits.join(copies, "_id", "left_anti").groupBy("_id").agg(F.collect_list("prints").alias("hits"))
+    hits = _by_document(met.mapInArrow(_probe(parts), CELLS), parts, "hits")
+    first_hits = scratch.written(hits, "anchor-hits").join(copies, "_id", "left_anti")
     dealt = named.repartition("_id")
     near = dealt.join(first_hits.hint("shuffle_hash"), "_id").select("_id", "text", "hits")
     compared = near.mapInArrow(_window_cells(parts, window, block), CELLS).repartition(parts, "part").sortWithinPartitions("part")
-    covered = compared.mapInArrow(_covered(), HITS).groupBy("_id").agg(F.collect_list("prints").alias("covered"))
+    covered = _by_document(compared.mapInArrow(_covered(parts), CELLS), parts, "covered")
     marks = covered.join(copies, "_id", "full_outer").withColumn("copy", F.coalesce("copy", F.lit(False)))
     found = dealt.join(marks.hint("shuffle_hash"), "_id", "left").select("_id", "text", "covered", F.coalesce("copy", F.lit(False)).alias("copy"))
-    nameless = rows.where(F.col("_id").isNull()).select("_id", "text", F.lit(None).cast("array<binary>").alias("covered"), F.lit(False).alias("copy"))
+    nameless = rows.where(F.col("_id").isNull()).select("_id", "text", F.lit(None).cast("binary").alias("covered"), F.lit(False).alias("copy"))
     schema = "_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     out = found.unionByName(nameless).mapInArrow(_cut(window), schema)
     return out.withColumnRenamed("_id", id_col)
