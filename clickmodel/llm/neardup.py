@@ -313,7 +313,8 @@ def _grouped(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, node, component_id) of every row."""
+    """(id, n_shingles, node, component_id, root) of every row; ``root`` is the least node of the
+    group, which tells apart groups of one least id (rows without an id, texts sharing an id)."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
@@ -358,9 +359,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, parts: int | None =
     # The least id of each group, then of each row.
     known = nodes.select("node", "_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = known.groupBy("root").agg(F.min("_id").alias("component_id"))
-    of_node = scratch.written(known.join(least, "root").select("node", "component_id"), "components")
+    of_node = scratch.written(known.join(least, "root").select("node", "component_id", "root"), "components")
     out = features.select("_id", "n", "node").join(of_node, "node", "left")
-    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "_id").alias("component_id"))
+    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "_id").alias("component_id"), "root")
 
 
 def _with_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,18 +374,19 @@ def _with_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """One document of each group, the one with the least id, with the input's columns (stage
-    form). Documents without words stay; of rows that repeat an id and a set one stays."""
+    """One document of each group, the one with the least id (NULL last, then the least node), with
+    the input's columns (stage form). Documents without words stay; of rows that repeat an id and
+    a set one stays."""
     names = docs.columns
     packed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs["doc_id"].cast("long").alias("_id"), docs["text"].alias("_text"))
     judged = near_duplicates(docs.select(docs["doc_id"], docs["text"]), **how)
-    first = judged.where("node is not null").groupBy("component_id").agg(
-        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("node"))).alias("node"))
+    carrier = F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("node").alias("n")))
+    first = judged.where("node is not null").groupBy("root").agg(carrier.alias("c")).select(F.col("c.i").alias("_first"), F.col("c.n").alias("node"))
     row_type = packed.schema["_row"].dataType.simpleString()
     marked = packed.mapInArrow(_with_nodes, f"_row {row_type}, _id bigint, _node bigint")
     kept = marked.join(
-        first.select("component_id", "node").hint("shuffle_hash"),
-        F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_node") == F.col("node")), "left_semi",
+        first.hint("shuffle_hash"),
+        F.col("_id").eqNullSafe(F.col("_first")) & (F.col("_node") == F.col("node")), "left_semi",
     )
     kept = kept.withColumn("_k", F.row_number().over(Window.partitionBy("_id", "_node").orderBy("_node"))).where("_k = 1")
     out = kept.select("_row").unionByName(marked.where("_node is null").select("_row"))

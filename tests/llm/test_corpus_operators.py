@@ -137,6 +137,14 @@ def test_groups_match_brute_force(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_of_each_keeps_every_group(spark):
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(20))
+    rows = [(None, text(k)) for k in range(6)] + [(None, text(0)), (None, text(6)), (40, text(6)), (41, text(6))]  # no id: seven groups
+    rows += [(5, text(7)), (5, text(8)), (50, text(7)), (51, text(8))]  # two groups under one id, copies under others
+    got = neardup.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, text(k)) for k in range(6)] + [(40, text(6)), (5, text(7)), (5, text(8))], key=str)
+
+
 def test_rest_round_finds_links_that_proposals_miss(spark, monkeypatch):
     # without proposals all links must come from the comparison of the regions' groups
     rows = [(i, t) for i, t in enumerate(corpus(5, 20))]
