@@ -8,6 +8,13 @@ Defined results: NULL and empty texts have no words, all counts 0, ``base_failed
 ``kept`` false. Repeated rows are judged separately. An empty table gives an empty result.
 Extra columns do not matter: signals are computed from one renamed copy of the text column.
 A 5-word window is compared by its 64-bit hash inside one document.
+
+Signals that cannot judge a text are NULL. Mean word length: texts with a third or more of their
+characters in scripts without blanks between words (Han, kana, Thai, ...). Stop words: texts under
+30 words, with a third or more of their characters in letters of other scripts than Latin, or with
+few words of the list but short words that recur as function words of any language do. The word
+count of ``base_failed`` is by white space in every script, so a text without blanks needs ten
+stretches between white space.
 """
 
 from __future__ import annotations
@@ -50,6 +57,11 @@ RULES = (
 )
 
 STOP_WORDS_FROM = 30
+# Texts of other scripts and languages than the stop words'.
+OTHER_SHARE = 1 / 3  # of the characters, from which a script counts as the text's
+SHORT, RECURRING = 4, 0.02  # letters of a function word; least share of words that are recurrences of one
+NOT_OTHER_LETTERS = r"[\x00-\u024F\u1E00-\u1EFF\P{L}]+"  # all but letters of other scripts than Latin
+SPACED = r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]+"
 BASE_MIN_WORDS, BASE_MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 
 
@@ -69,19 +81,24 @@ def signals(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
         words_of(F.col("_t")).alias("_w"),
         F.filter(F.split("_t", "\n"), lambda x: F.translate(x, SPACES, "") != "").alias("_l"),
         F.length(spoken).cast("long").alias("word_chars"),
+        F.regexp_replace("_t", NOT_OTHER_LETTERS, "").alias("_o"),
     )
     n = F.size("_w")
     w = F.col("_w")
     window = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)])
     starts = F.sequence(F.lit(0), n - WINDOW)
+    bare = lambda x: F.rtrim(F.lower(x), F.lit(",.;:"))
     df = df.select(
         *keep,
         "word_chars",
+        "_w",
+        F.length("_o").alias("_other"),
+        F.when(F.length("_o") > 0, F.length(F.regexp_replace("_o", SPACED, ""))).otherwise(0).alias("_unspaced"),
         n.cast("long").alias("n_words"),
         (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        F.size(F.filter("_w", lambda x: F.rtrim(F.lower(x), F.lit(",.;:")).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("_w", lambda x: bare(x).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.size(F.filter("_w", lambda x: F.endswith(x, F.lit("!!")))).cast("long").alias("n_shouts"),
         F.size(F.filter("_w", lambda x, i: x == F.get(w, i - 1))).cast("long").alias("n_stutters"),
         F.when(n >= WINDOW, F.transform(starts, window)).otherwise(F.array().cast("array<bigint>")).alias("_h"),
@@ -99,17 +116,24 @@ def signals(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
         "n_repeat_words",
         F.coalesce(F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)).cast("long"),
     ).drop("_p")
+    # Only texts with few stop words are searched for recurring short words.
+    few = (F.col("n_words") >= STOP_WORDS_FROM) & (F.col("n_stop_words") < 0.02 * F.col("n_words"))
+    short = F.filter(F.transform("_w", bare), lambda x: (F.length(x) <= SHORT) & x.rlike(r"^\p{L}+$"))
+    df = df.withColumn("_short", F.when(few, short)).drop("_w")
+    recurring = F.coalesce(F.size("_short") - F.size(F.array_distinct("_short")) >= RECURRING * F.col("n_words"), F.lit(False))
+    other, unspaced = (F.col(c) >= OTHER_SHARE * F.col("word_chars") for c in ("_other", "_unspaced"))
     ratio = lambda a, b: F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
-    return df.select(
+    df = df.select(
         "*",
-        ratio("word_chars", "n_words").alias("mean_word_length"),
+        F.when(~unspaced, ratio("word_chars", "n_words")).alias("mean_word_length"),
         ratio("n_symbols", "n_words").alias("symbols_per_word"),
-        F.when(F.col("n_words") >= STOP_WORDS_FROM, ratio("n_stop_words", "n_words")).alias("stop_word_ratio"),
+        F.when((F.col("n_words") >= STOP_WORDS_FROM) & ~other & ~recurring, ratio("n_stop_words", "n_words")).alias("stop_word_ratio"),
         ratio("n_shouts", "n_words").alias("shout_ratio"),
         ratio("n_stutters", "n_words").alias("stutter_ratio"),
         ratio("n_dup_lines", "n_lines").alias("dup_line_ratio"),
         ratio("n_repeat_words", "n_words").alias("repeat_word_ratio"),
     )
+    return df.drop("_other", "_unspaced", "_short")
 
 
 def compile_rules(rules: tuple[Rule, ...]) -> list[Column]:

@@ -68,6 +68,29 @@ def test_rules_keep_clean_and_drop_junk(spark):
     assert rules.judge(df.limit(0)).count() == 0
 
 
+OTHER_LANGUAGES = {
+    "it": "Il vecchio pescatore usciva ogni mattina prima dell'alba e tornava a casa quando il sole era già alto. Di sera raccontava ai nipoti storie di mare e di tempeste, mentre fuori pioveva e il vento scuoteva gli alberi.",
+    "nl": "Elke ochtend liep hij langs het water naar zijn werk, ook als het regende. Hij kende alle vogels bij naam en wist waar ze hun nesten maakten. Zijn vrouw wachtte thuis met koffie en brood, en dan praatten ze over vroeger.",
+    "pl": "Stary rybak codziennie rano wychodził z domu i szedł nad rzekę. Wracał dopiero wieczorem, kiedy na niebie widać było gwiazdy. Jego wnuki czekały na niego przy stole i słuchały opowieści o rybach i o burzach.",
+    "fi": "Vanha kalastaja lähti joka aamu rannalle ja palasi illalla kotiin. Hän kertoi lapsille tarinoita merestä ja myrskyistä, ja lapset kuuntelivat hiljaa. Talvella järvi oli jäässä, ja silloin hän istui ikkunan ääressä ja korjasi verkkoja.",
+    "tr": "Yaşlı balıkçı her sabah erkenden evden çıkar ve sahile inerdi. Akşam olunca bir sepet balık ve bir sürü hikaye ile dönerdi. Çocuklar onu kapıda bekler ve anlattığı her şeyi dikkatle dinlerdi, çünkü bu hikayeler çok güzeldi.",
+    "sw": "Mzee huyo alikuwa mvuvi wa samaki na kila siku alikwenda baharini na mashua yake. Jioni alirudi nyumbani na samaki wengi, na watoto wa kijiji walikuja kusikiliza hadithi za bahari na za dhoruba kubwa za zamani.",
+    "ru": "Старый рыбак каждое утро выходил из дома и шёл к реке. Он возвращался только вечером, когда на небе появлялись звёзды. Внуки ждали его за столом и слушали рассказы о рыбах, о бурях и о далёких странах, где он бывал.",
+    "el": "Ο γέρος ψαράς έβγαινε κάθε πρωί από το σπίτι και πήγαινε στη θάλασσα. Γύριζε το βράδυ με λίγα ψάρια και πολλές ιστορίες. Τα παιδιά τον περίμεναν στην πόρτα και άκουγαν με προσοχή όσα έλεγε για τις φουρτούνες.",
+    "zh": "\n".join("老渔夫每天清晨离开家门沿着河边慢慢走到海边，" + x for x in "他很高兴 天气晴朗 孩子们在等 风很大 鱼很多 他唱着歌 太阳升起 海水很蓝 船在远处 他回家了 大家吃饭 夜里下雨".split()),
+    "th": "\n".join("ชาวประมงชราออกจากบ้านทุกเช้าและเดินไปที่ทะเล" + x for x in "กับลูก กับเพื่อน ในฤดูฝน ในฤดูหนาว ด้วยเรือ อย่างช้า วันจันทร์ วันอังคาร วันพุธ ตอนเย็น ตอนค่ำ".split()),
+}
+
+
+def test_rules_keep_clean_texts_of_other_languages(spark):
+    keywords = "cheap flights hotel booking discount luxury travel vacation resort airline tickets cruise packages rental insurance adventure holiday destination tropical beach island mountain hiking camping tours guide deals offers promotion coupon voucher"
+    rows = [*OTHER_LANGUAGES.items(), ("no prose", keywords), ("one long word", "слово" * 20 + " " + " ".join(f"{'б' * 30}{k}" for k in range(40)))]
+    got = {r.doc_id: r for r in rules.judge(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert {k for k, r in got.items() if r.kept} == set(OTHER_LANGUAGES)
+    assert not got["no prose"].ok_stop_word_ratio and not got["one long word"].ok_mean_word_length
+    assert all(got[k].ok_mean_word_length for k in ("zh", "th"))
+
+
 def test_rules_plan_is_one_projection(spark):
     plan = rules.judge(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
