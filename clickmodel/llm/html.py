@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
 A page is parsed into a DOM. Elements that hold no article text by their tag, role or name
-(menus, footers, adverts, forms, comments and the like) are cut out. Every remaining node has
+(menus, footers, adverts, forms, comments and the like) are cut out; a name is a whole class or id
+or a compound that begins or ends with one, but no layout's ("no-sidebar", "with-sidebar"), no
+article's own header, and, as a compound, not that of a node with most of the page's text. Every remaining node has
 its characters, tags, link characters and link tags; its composite density is the characters per
 tag, weighted by a logarithm that falls with the share of links. A node's density sum adds up its
 children's densities. The subtree with the largest sum holds the text; on the way up to the body,
@@ -52,6 +54,12 @@ NOT_NAMES = frozenset(
     "promo promoted promotion related recommended recommendations replies respond share sharing sidebar skyscraper social sponsor sponsored "
     "subscribe subscription toolbar topbar widget".split()
 )
+# Names that are whole in one part only, or judged like the header tag.
+HEADERS = frozenset(["header", "masthead"])
+COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
+# Parts of a compound that say that the element is something else: a layout with or without a part, or an article's own header.
+LAYOUTS = frozenset("no not non has have with without".split())
+OWN = frozenset("article entry headline post section story title".split())
 ARTICLE = frozenset(["article", "main"])
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -65,6 +73,7 @@ class Page:
         self.tags, self.parents, self.attributes = ["#page"], [0], [""]
         self.pieces: list[tuple[int, str]] = []  # (node, text); at an opened or closed block: (node, None)
         self.first, self.last = [0], [0]  # of each node's pieces
+        self.plain: list[int] | None = None
         stack, at, end = [0], 0, len(source)
         while at < end:
             m = _TOKEN.search(source, at)
@@ -152,11 +161,48 @@ class Page:
             if out[up] or tag in NOT_TEXT or (tag == "header" and not inside[k] and not holds[k]):
                 out[k] = True
             elif self.attributes[k] and tag not in ARTICLE and tag not in ("html", "body"):
-                out[k] = not holds[k] and self._beside(self.attributes[k])
+                out[k] = not holds[k] and (self._hidden(self.attributes[k]) or self._named(k, inside[k]))
         return out
 
+    def _plain(self) -> list[int]:
+        """Of every node, the characters outside links and outside elements that are no text by tag."""
+        n = len(self.tags)
+        skip, plain = [False] * n, [0] * n
+        for k in range(1, n):
+            skip[k] = skip[self.parents[k]] or self.tags[k] == "a" or self.tags[k] in NOT_TEXT
+        for node, text in self.pieces:
+            if text and not skip[node]:
+                plain[node] += len("".join(text.split()))
+        for k in range(n - 1, 0, -1):
+            plain[self.parents[k]] += plain[k]
+        return plain
+
+    def _named(self, node: int, in_article: bool) -> bool:
+        """Whether a class or id names a part beside the article: by a whole name, or by a compound
+        that begins or ends with one, unless the node holds most of the page's plain text."""
+        for m in _ATTRIBUTE.finditer(self.attributes[node]):
+            if m[1].lower() not in ("class", "id"):
+                continue
+            for token in next((v for v in m.groups()[1:] if v is not None), "").split():
+                parts = [w.lower() for w in _NAME.findall(token)]
+                if not parts or not LAYOUTS.isdisjoint(parts):
+                    continue
+                # A widget is named first (widget_search); builders end the names of all their boxes with it.
+                ends = {parts[0], parts[-1]} - ({"widget"} if parts[0] != "widget" else set())
+                names = ends & NOT_NAMES
+                if names and names <= HEADERS and (in_article or not OWN.isdisjoint(parts)):
+                    continue
+                if names and len(parts) > 1 and COMMENTS.isdisjoint(names):
+                    if self.plain is None:
+                        self.plain = self._plain()
+                    if 2 * self.plain[node] > self.plain[0]:
+                        continue
+                if names:
+                    return True
+        return False
+
     @staticmethod
-    def _beside(attributes: str) -> bool:
+    def _hidden(attributes: str) -> bool:
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), next((v for v in m.groups()[1:] if v is not None), "")
             if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -165,8 +211,6 @@ class Page:
                 return True
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-            if name in ("class", "id") and any(w.lower() in NOT_NAMES for w in _NAME.findall(value)):
-                return True
         return False
 
 

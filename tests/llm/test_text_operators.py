@@ -139,6 +139,19 @@ def test_main_text(source, text):
     assert html.main_text(source) == text
 
 
+@pytest.mark.parametrize("name", ["container no-sidebar", "content-with-sidebar", "has-header", "elementor-widget-container", "elementor-widget elementor-widget-text-editor", "layout-right-sidebar", "right-sidebar", "page noAds"])
+def test_layout_names_are_not_cut(name):
+    got = html.main_text(f"<body><ul class='main-nav'><li><a href=x>menu</a></ul><div class='{name}'><h1>Title</h1><p>One long text of the page.</p></div><div class='site-footer'>imprint</div></body>")
+    assert got == "Title\n\nOne long text of the page."
+
+
+def test_names_beside_the_article_are_cut_and_its_header_kept():
+    beside = "".join(f"<div class='{c}'>beside</div>" for c in ("ad box", "adBox", "ad-slot", "cookie-banner", "related-posts", "widget_search", "left-sidebar", "social_share", "header"))
+    more = "".join(f"<section id='{c}'><p>{'A reader says much more than the text does. ' * 9}</p></section>" for c in ("comments", "post-comments", "comments-container"))
+    got = html.main_text(f"<body>{beside}<article><div class='post-header'><h1>Title</h1></div><div class=header><p>Lead</p></div><p>One long text of the page.</p>{more}</article></body>")
+    assert got == "Title\n\nLead\n\nOne long text of the page."
+
+
 def test_density_selects_the_article_without_any_names():
     links = "".join(f"<li><a href=/{k}>item {k}</a></li>" for k in range(30))
     body = "".join(f"<p>{'A sentence of the article with many words in it. ' * 5}</p>" for _ in range(4))
