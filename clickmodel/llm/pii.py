@@ -9,10 +9,17 @@ Distinctness is checked over the corpus: all distinct entities propose a surroga
 propose the same, or one proposes an entity that the corpus holds, all but the least entity of a
 free surrogate draw again, until nothing collides. The table of entities never leaves Spark.
 
-Types: email, phone, IPv4, card number, social-security number, IBAN, secret (a hex or token
-string that is labelled as one or 32 digits long and more), and the parts of a person's name
-after a title, which gives the gender. A family or given name found so is replaced elsewhere in
-that document too.
+Types: email, phone (international, North American, French, German and Spanish layouts), IPv4,
+IPv6, card number, social-security number, IBAN, secret (a hex or token string that is labelled
+as one, in quotes or not, or 32 digits long and more), and the parts of a person's name after a
+title, which gives the gender; parts may hold inner capitals, hyphens and apostrophes, be all
+capitals and follow initials. A family or given name found so is replaced elsewhere in that
+document too, where it is written alike.
+
+Not detected: names without a title anywhere in the document, initials (they stay beside the new
+name), all-capital names after "MS" or "SR" without a full stop, names in other scripts than Latin
+and Cyrillic, postal addresses, dates of birth, phone numbers in other national layouts, Spanish
+numbers without separators, and unquoted secrets after a colon that are letters alone.
 
 Defined results: NULL stays NULL; texts without an entity stay byte for byte; rows that repeat an
 id are told apart by their text; a NULL id is an id; an empty table gives an empty result. Extra
@@ -23,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import string
 from collections.abc import Iterator
@@ -47,13 +55,24 @@ _PATTERNS = {
     "card": r"(?<![\w.+-])(?:\d{4}[ -]){3}\d{1,7}(?![\w-])|(?<![\w.+-])\d{13,19}(?![\w-])",
     "ipv4": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<!\w)\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}(?!\w)|(?<!\w)\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
+    # French; German; Spanish.
+    r"|(?<![\w+.,/-])(?<!\d )0[1-9](?:([ .-]?)\d{2})(?:\1\d{2}){3}(?![\w-])|(?<![\w+.,/-])(?<!\d )0[1-9]?\d{1,3}[ /-]\d{3,8}(?:[ -]\d{1,5}){0,2}(?![\w/-])|(?<![\w+.,/-])(?<!\d )[6-9]\d{2}([ .-])\d{3}\2\d{3}(?![\w-]|[ .,]\d)",
+    "ipv6": r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])",
     "secret": r"(?<!\w)[0-9a-fA-F]{32,}(?!\w)|(?<!\w)(?:AKIA|ASIA|ghp_|gho_|xox[bpas]-|sk-|pk_live_|sk_live_)[0-9A-Za-z_-]{12,}(?!\w)",
 }
-_LABELLED = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s*[=:]\s*([\"'])([^\s\"']{8,})\1")
+_LABEL = r"(?i)(?<![a-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s*"
+_LABELLED = re.compile(_LABEL + r"[=:]\s*([\"'])([^\s\"']{8,})\1")
+_UNQUOTED = re.compile(_LABEL + r"(?:=\s*|:\s*(?=[a-z]*[^\sa-z\"',;<>.:)!?]))([^\s\"',;<>]{7,}[^\s\"',;<>.:)!?])")
 _COMPILED = {k: re.compile(v) for k, v in _PATTERNS.items()}
-_PERSON = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})(?:\.[ ]|[ ])([{_UPPER}][{_LOWER}'’-]+(?:[ ][{_UPPER}][{_LOWER}'’-]+){{0,2}})")
-_TITLE = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLES, key=len, reverse=True))})(?!\w)")
+_MIXED = rf"(?:[{_UPPER}]['’])?[{_UPPER}][{_LOWER}]+(?:(?:[-'’][{_UPPER}]?|[{_UPPER}])[{_LOWER}]+)*"
+_CAPITALS = rf"(?:[{_UPPER}]['’])?[{_UPPER}]{{2,}}(?:[-'’][{_UPPER}]+)*"
+_BY_LENGTH = sorted(TITLES, key=len, reverse=True)
+_SHOUTED = {t.upper(): g for t, g in TITLES.items()}
+# All-capital titles stand before all-capital names; "MS" and "SR" are too common without their full stop.
+_BEFORE = "|".join([rf"(?:{'|'.join(_BY_LENGTH)})(?:\.[ ]|[ ])", rf"(?:{'|'.join(map(str.upper, _BY_LENGTH))})(?:\.[ ]|(?<!MS)(?<!SR)[ ])(?=(?:[{_UPPER}]\.[ ]?)*{_CAPITALS}(?!\w))"])
+_PERSON = re.compile(rf"(?<!\w)(?:{_BEFORE})(?:[{_UPPER}]\.[ ]?){{0,3}}({_MIXED}(?:[ ](?:[{_UPPER}]\.[ ])?{_MIXED}(?!\w)){{0,2}}|{_CAPITALS}(?:[ ]{_CAPITALS}){{0,2}})(?!\w)")
+_TITLE = re.compile(rf"(?<!\w)({'|'.join(sorted({*TITLES, *_SHOUTED}, key=len, reverse=True))})(?!\w)")
 _DIGIT = re.compile(r"\d")
 _CYRILLIC = re.compile("[А-яЁё]")
 # What a surrogate's letters are drawn from, by the script and case of the letter replaced.
@@ -71,6 +90,17 @@ def script_of(word: str) -> str:
     return "cyrillic" if _CYRILLIC.search(word) else "latin"
 
 
+def _ipv6(mention: str) -> str | None:
+    """The address in its shortest form, or None: clock times, names in program text (a::b) and the like."""
+    if sum(map(bool, mention.split(":"))) < 2 or not _DIGIT.search(mention):
+        return None
+    try:
+        address = ipaddress.IPv6Address(mention)
+    except ValueError:
+        return None
+    return str(address)
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of the entities of a text, not overlapping, in order."""
     found: list[tuple[int, int, str, str]] = []
@@ -78,6 +108,10 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         found += [(m.start(), m.end(), "email", m[0].lower()) for m in _COMPILED["email"].finditer(text)]
     if digits:
+        if text.count(":") > 1:
+            for m in _COMPILED["ipv6"].finditer(text):
+                if (form := _ipv6(m[0])) is not None:
+                    found.append((m.start(), m.end(), "ipv6", form))
         for kind in ("secret", "iban", "card", "ipv4", "ssn", "phone"):
             for m in _COMPILED[kind].finditer(text):
                 form = re.sub(r"[^0-9A-Za-z]", "", m[0]) if kind in ("iban", "card", "ssn", "phone") else m[0].lower() if kind == "secret" and len(m[0]) >= 32 else m[0]
@@ -89,13 +123,15 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
                     continue
                 found.append((m.start(), m.end(), kind, form))
     found += [(m.start(2), m.end(2), "secret", m[2].lower() if re.fullmatch("[0-9a-fA-F]{32,}", m[2]) else m[2]) for m in _LABELLED.finditer(text)]
+    found += [(m.start(1), m.end(1), "secret", m[1].lower() if re.fullmatch("[0-9a-fA-F]{32,}", m[1]) else m[1]) for m in _UNQUOTED.finditer(text)]
     names: dict[str, tuple[str, str]] = {}
     for m in _PERSON.finditer(text):
         title = _TITLE.match(text, m.start())[1]
-        parts = m[1].split(" ")
+        gender = TITLES.get(title) or _SHOUTED[title]
+        parts = [re.sub(r"['’][sS]$", "", p) for p in m[1].split(" ") if not p.endswith(".")]
         for k, part in enumerate(parts):
             family = k == len(parts) - 1
-            names.setdefault(part, ("family" if family else "given", TITLES[title]))
+            names.setdefault(part, ("family" if family else "given", gender))
     if names:
         for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(names, key=len, reverse=True)))})(?!\w)", text):
             part, gender = names[m[0]]
@@ -170,6 +206,8 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         return "".join(_like(c, s) for c in local) + "@" + ".".join("".join(_like(c, s) for c in x) for x in labels) + "." + top
     if kind == "ipv4":
         return ".".join(str(1 + s.below(254)) for _ in range(4))
+    if kind == "ipv6":
+        return str(ipaddress.IPv6Address(":".join(f"{s.below(65535) + 1:x}" for _ in range(8))))
     if kind == "card":
         out = "".join(s.one(string.digits) if k else s.one("3456") for k in range(len(entity)))
         if luhn(entity) != luhn(out):

@@ -229,6 +229,21 @@ def test_mentions_of_every_type():
     assert pii.mentions("plain prose, version 3.0, 12 of 50, 2024-01-02 10:20:30, The Sea") == []
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    ("Mr. McDonald left", ["McDonald"]), ("Mme Jean-Pierre dort", ["Jean-Pierre"]), ("Mrs. O'Brien's car", ["O'Brien"]), ("Mr. J. Smith", ["Smith"]),
+    ("MR. SMITH and MRS O'BRIEN", ["SMITH", "O'BRIEN"]), ("Dr. Anna B. Schmidt", ["Anna", "Schmidt"]), ("Mr. Smith's IBM", ["Smith"]),
+    ("+33 6 12 34 56 78", None), ("06 12 34 56 78", None), ("0612345678", None), ("030 1234567", None), ("089/12345-67", None), ("0171 1234567", None), ("912 345 678", None),
+    ("+49 30 1234567", None), ("+34 912 345 678", None), ("password=hunter2hunter2", ["hunter2hunter2"]), ("password: S3cretPass99.", ["S3cretPass99"]), ("auth_token=abcdefgh1", ["abcdefgh1"]),
+    ("2001:db8::8a2e:370:7334", None), ("2001:0DB8:0000:0000:0000:8a2e:0370:7334", None), ("fe80::1", None),
+    ("password: required; MS WORD 10:20:30, 1 912 345 678, 2024-01-02, std::x 1::, 0.05 12:30:45:50", []),
+])
+def test_more_forms_are_mentioned_and_replaced(text, found):
+    got = pii.mentions(text)
+    assert [text[a:b] for a, b, _, _ in got] == ([text] if found is None else found)
+    new, n = pii.replace(text, {(k, f): pii.surrogate(b"key", k, f, 0) for _, _, k, f in got})
+    assert n == len(got) and all(text[a:b] not in new for a, b, _, _ in got)
+
+
 def test_surrogates_keep_type_format_and_identity(spark):
     docs = spark.createDataFrame([(1, PII_TEXT, "z"), (2, "again anna.smith@mail.example.org and 10.20.30.40", "z"), (3, None, "z"), (4, "", "z"), (5, "no data", "z"), (None, "10.20.30.40", "z")],
                                  "doc_id bigint, text string, n_entities string")
