@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmodel.llm import decontaminate, html, lines, mixing, neardup, pii, quality, rules, substring, tokens
+from clickmodel.llm import decontaminate, html, lines, merkle, mixing, neardup, permutation, pii, quality, rules, substring, tokens, trie
 
 REG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -193,6 +193,78 @@ def op10(spark, d):
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+@register("op11_nearest_vectors")
+def op11(spark, d):
+    return permutation.nearest(_table(spark, d, "embeddings"), F.col("id") % 20 == 0)
+
+
+def _sql_crc32(x: str) -> str:
+    """Unsigned crc32 of the decimal text of ``x`` (not NULL): eight shifts a byte."""
+    return f"""xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST({x} AS VARCHAR), ''), lambda z: CAST(ord(z) AS BIGINT))),
+  lambda a, z: list_reduce([xor(a, z), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)), 4294967295)"""
+
+
+def _sql_field(x: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+_HEAD = " || ".join(map(_sql_field, ("doc_id", "source", "lang", "n_chars")))
+OP12_SQL = rf"""
+WITH RECURSIVE f AS (SELECT doc_id, source, sha256({_HEAD} || {_sql_field("text")}) AS leaf,
+  sha256({_HEAD} || CASE WHEN doc_id IS NOT NULL AND {_sql_crc32("coalesce(doc_id, 0)")} % 2 = 0 THEN {_sql_field("replace(text, chr(10), '')")} ELSE {_sql_field("text")} END) AS changed
+  FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS i,
+  count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t FROM f),
+up AS (SELECT 0 AS lv, t, i, n, leaf AS h FROM l
+  UNION ALL SELECT lv + 1, t, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY lv, t, i // 3, n),
+sub AS (SELECT t, h FROM up WHERE n = 1),
+top AS (SELECT 0 AS lv, t AS i, (SELECT count(*) FROM sub) AS n, h FROM sub
+  UNION ALL SELECT lv + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY lv, i // 3, n),
+nodes AS (SELECT 0 AS z, lv, t, i, n, h FROM up UNION ALL SELECT 1, lv, 0, i, n, h FROM top),
+around AS (SELECT a.z, a.lv, a.t, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS x,
+  coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS y
+  FROM nodes a JOIN nodes b ON a.z = b.z AND a.lv = b.lv AND a.t = b.t AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY ALL),
+fold AS (SELECT row_number() OVER () AS r, doc_id, leaf, t AS src, 0 AS z, 0 AS lv, t, i, n, changed AS cur, '' AS sibs FROM l
+  UNION ALL SELECT r, doc_id, leaf, src, CASE WHEN f.n > 1 THEN f.z ELSE 1 END, CASE WHEN f.n > 1 THEN f.lv + 1 ELSE 0 END,
+  CASE WHEN f.n > 1 THEN f.t ELSE 0 END, CASE WHEN f.n > 1 THEN f.i // 3 ELSE src END,
+  CASE WHEN f.n > 1 THEN (f.n + 2) // 3 ELSE (SELECT count(*) FROM sub) END,
+  CASE WHEN f.n > 1 THEN sha256(x || cur || y) ELSE cur END, sibs || CASE WHEN f.n > 1 THEN x || y ELSE '' END
+  FROM fold f LEFT JOIN around a ON a.z = f.z AND a.lv = f.lv AND a.t = f.t AND a.i = f.i WHERE f.n > 1 OR f.z = 0)
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(sibs) AS proof_sha256, cur AS folded_root, cur = top.h AS verified
+FROM fold JOIN sub ON sub.t = src JOIN top ON top.n = 1 WHERE fold.z = 1 AND fold.n = 1
+"""
+
+
+@register("op12_manifest_proofs", OP12_SQL)
+def op12(spark, d):
+    return merkle.prove(_table(spark, d, "documents"))
+
+
+OP13_SQL = rf"""
+WITH o AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(k)) AS i, md5(k) AS m, length(coalesce(text, '')) AS n
+  FROM (SELECT *, CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '') AS k FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT c, {_sql_crc32("c")} % 6 AS h FROM (SELECT DISTINCT c FROM o)),
+b AS (SELECT c.c, 0 AS own, o.i, m, n FROM c JOIN o ON o.c = c.c - c.c % 100 AND o.i <= h
+  UNION ALL SELECT c.c, 1, o.i, m, n FROM c JOIN o ON o.c = c.c AND o.i > h),
+p AS (SELECT c, row_number() OVER w AS d, md5(string_agg(m, ',') OVER w) AS k, n FROM b WINDOW w AS (PARTITION BY c ORDER BY own, i ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT c, 0, '', 0 FROM c),
+q AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS up, d = max(d) OVER (PARTITION BY c) AS final FROM p),
+v AS (SELECT d, k, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, max(n) AS n,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE final), '')) AS ends_sha256 FROM q GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM v WHERE d > 0 GROUP BY 1, 2),
+below AS (SELECT a.d, a.k, sum((v.n_convs - 1) * v.n) AS saved, count(*) FILTER (WHERE kids.k IS NULL) AS n_leaves
+  FROM v LEFT JOIN kids USING (d, k) JOIN p AS a ON a.c = v.conv_id AND a.d <= v.d GROUP BY 1, 2)
+SELECT v.conv_id, v.d AS depth, parent.conv_id AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children,
+  n_leaves, CAST(saved AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM v LEFT JOIN kids USING (d, k) JOIN below USING (d, k) LEFT JOIN v AS parent ON parent.d = v.d - 1 AND parent.k = v.up
+"""
+
+
+@register("op13_prefix_trie", OP13_SQL)
+def op13(spark, d):
+    return trie.prefix_trie(_table(spark, d, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REG.items()}
 
