@@ -23,6 +23,21 @@ def _as_date(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
 
 
+def window_bounds(start=None, days: int | None = None, direction: str = "forward",
+                  start_only: str = "from") -> tuple[dt.date | None, dt.date | None]:
+    """First and last day of a window, None where it is open."""
+    if start is None:
+        if days is not None:
+            raise ValueError("days needs a start date")
+        return None, None
+    s = _as_date(start)
+    if days is None:
+        return s, s if start_only == "exact" else None
+    if days < 1:
+        raise ValueError("days must be >= 1")
+    return (s, s + dt.timedelta(days=days - 1)) if direction == "forward" else (s - dt.timedelta(days=days - 1), s)
+
+
 def date_window(df: DataFrame, start=None, days: int | None = None, column: str = "event_date_dt",
                 direction: str = "forward", start_only: str = "from") -> DataFrame:
     """Filter on a (partition) date column.
@@ -31,21 +46,13 @@ def date_window(df: DataFrame, start=None, days: int | None = None, column: str
     start only: ``start_only="from"`` keeps ``>= start``; ``"exact"`` keeps ``== start``.
     Nothing: no filter. The predicate reaches the scan as a partition filter.
     """
-    if start is None:
-        if days is not None:
-            raise ValueError("days needs a start date")
-        return df
-    s = _as_date(start)
+    lo, hi = window_bounds(start, days, direction, start_only)
     c = F.col(column)
-    if days is not None:
-        if days < 1:
-            raise ValueError("days must be >= 1")
-        lo, hi = (s, s + dt.timedelta(days=days - 1)) if direction == "forward" else \
-            (s - dt.timedelta(days=days - 1), s)
-        return df.filter((c >= F.lit(lo)) & (c <= F.lit(hi)))
-    if start_only == "exact":
-        return df.filter(c == F.lit(s))
-    return df.filter(c >= F.lit(s))
+    if lo is None:
+        return df
+    if lo == hi:
+        return df.filter(c == F.lit(lo))
+    return df.filter(c >= F.lit(lo)) if hi is None else df.filter((c >= F.lit(lo)) & (c <= F.lit(hi)))
 
 
 def date_window_exact(df: DataFrame, start=None, days: int | None = None,
@@ -109,10 +116,19 @@ def session_derived(sessions: DataFrame, derived: DataFrame | None, join_derived
     return left_join(sessions, derived, key, repeated_keys)
 
 
+def drop_continued(sessions: DataFrame, earlier: DataFrame, key: str = "session_key") -> DataFrame:
+    """Sessions that ``earlier`` rows of the session dimension do not hold; only keys are compared."""
+    return sessions.join(earlier.select(key), key, "left_anti")
+
+
 def build_sessions(staged: DataFrame, traffic: DataFrame | None = None, derived: DataFrame | None = None,
-                   start=None, days: int | None = None, join_derived: bool = False) -> DataFrame:
-    """Staged events -> session dimension. ``traffic`` and ``derived`` hold one row per session."""
+                   start=None, days: int | None = None, join_derived: bool = False,
+                   earlier: DataFrame | None = None) -> DataFrame:
+    """Staged events -> session dimension. ``traffic`` and ``derived`` hold one row per session;
+    sessions that ``earlier`` holds are left out (they began before)."""
     df = session_start(first_event_per_session(drop_boundary_events(date_window_exact(staged, start, days))))
+    if earlier is not None:
+        df = drop_continued(df, earlier)
     if traffic is not None:
         df = session_traffic(df, traffic)
     return session_derived(df, derived, join_derived)

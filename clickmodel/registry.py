@@ -23,7 +23,7 @@ from clickmodel.operators import sessions as SS
 from clickmodel.operators import staging as ST
 from clickmodel.operators.users import USER_SNAPSHOT_FIELDS, user_snapshot
 from clickmodel.plans import planner as PL
-from clickmodel.plans.jobs import QUARANTINE, run_base
+from clickmodel.plans.jobs import QUARANTINE, run_base, run_sessions
 from clickmodel.session import shared_folder
 from clickmodel.sources import testdata as TD
 from clickmodel.sources.files import list_partition_dates, list_raw_dates, raw_days, read_days, read_partitioned
@@ -469,6 +469,32 @@ def q_user_snapshot(spark, d):
                     F.to_json("user_properties").alias("user_properties"), F.to_json("audiences").alias("audiences"))
 
 
+def _type_sql(c: str) -> str:
+    """Spark's name for the type of a DuckDB column."""
+    t = f"typeof(any_value({c}))"
+    names = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "DATE": "date"}
+    return f"CASE {' '.join(f"WHEN {t} = '{k}' THEN '{v}'" for k, v in names.items())} WHEN suffix({t}, '[]') THEN 'array' ELSE 'struct' END"
+
+
+# The staging columns in their order, after the day and the base event's own columns.
+STAGING_ORDER = ["client_key", "session_key", "session_partition_key", "event_key", "original_page_location", "original_page_referrer",
+                 "page_path", "page_hostname", "page_query_string", "page_key", "page_engagement_key"]
+STAGED_ORDER = ["event_date_dt", *[n for n, _ in SV.SERVING_COLUMNS if n not in ("_event_date_dt", *STAGING_ORDER)], *STAGING_ORDER]
+
+
+@register("staged_columns", O.with_layers(" UNION ALL ".join(
+    f"SELECT CAST({i} AS BIGINT) AS position, '{c}' AS name, {_type_sql(c)} AS type, count({c}) AS n_values FROM stg"
+    for i, c in enumerate(STAGED_ORDER, 1))))
+def q_staged_columns(spark, d):
+    # the staged frame's columns as rows: place, name, type and number of values, in one aggregation
+    staged = ST.stage_events(B.base_model(_raw(spark, d)))
+    counts = staged.agg(*[F.count(c).alias(c) for c in staged.columns])
+    kinds = dict(staged.dtypes)
+    rows = [F.struct(F.lit(i).cast("long").alias("position"), F.lit(c).alias("name"),
+                     F.lit(kinds[c].partition("<")[0]).alias("type"), F.col(c).alias("n_values")) for i, c in enumerate(staged.columns, 1)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 # ---------------------------------------------------------------- planning
 # The raw landing zone holds one export per event day; days up to the 10th count as
 # already processed, and the newest day is "today" (still being written).
@@ -630,6 +656,21 @@ def q_quarantine_days(spark, d):
     return joined.select(_ds("date"), "status", "written", "n_rows", "n_quarantined", F.coalesce("n_stored", F.lit(0)).alias("n_stored"))
 
 
+@register("sessions_over_days", O.with_layers(
+    "SELECT client_key AS session_key, CAST(event_date_dt AS VARCHAR) AS session_start_date, event_timestamp AS session_start_timestamp, "
+    "page_location AS landing_page FROM (SELECT *, row_number() OVER (PARTITION BY client_key ORDER BY "
+    "CASE WHEN day(event_date_dt) <= 10 THEN 1 WHEN day(event_date_dt) <= 20 THEN 2 ELSE 3 END, event_timestamp NULLS FIRST, event_key) AS place "
+    "FROM stg WHERE event_name NOT IN ('first_visit', 'session_start')) t WHERE place = 1"))
+def q_sessions_over_days(spark, d):
+    # a client's events as one session over many days; three windows, the second processed first
+    root = _root(spark)
+    write_partitioned(_staged(spark, d).withColumn("session_key", F.col("client_key")), f"{root}/stg", "event_date_dt")
+    for start, days in (("2024-01-11", 10), ("2024-01-01", 10), ("2024-01-21", 11)):
+        run_sessions(spark, f"{root}/stg", None, f"{root}/ses", start=start, days=days, look_back=31)
+    ses = read_partitioned(spark, f"{root}/ses", column="session_start_date")
+    return ses.select("session_key", _ds("session_start_date"), "session_start_timestamp", "landing_page")
+
+
 @register("serving_coercion", O.with_layers(
     "SELECT event_id, CAST(CASE event_id % 5 WHEN 0 THEN 12 WHEN 1 THEN 7 WHEN 4 THEN -3 END AS BIGINT) AS device_vendor_id, "
     "stream_id, CASE WHEN event_id % 2 = 0 THEN session_id END AS session_id, engagement_time_msec, "

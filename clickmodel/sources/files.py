@@ -9,16 +9,22 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from clickmodel.schema import AS_FOUND, RAW_EVENT
+from clickmodel.sources import ledger
+from clickmodel.sources.fs import as_day, list_names
 
 RAW_FILE_PATTERN = r"events_(\d{8})\.parquet"
 EXPORT_DAY = "__export_day"
@@ -28,36 +34,11 @@ def raw_file_name(day: dt.date) -> str:
     return f"events_{day:%Y%m%d}.parquet"
 
 
-def _file_system(spark: SparkSession, prefix: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(prefix)
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def list_names(spark: SparkSession, prefix: str) -> list[str]:
-    """Names one level below ``prefix``; a missing prefix is empty, any other failure is raised."""
-    path, fs = _file_system(spark, prefix)
-    if not fs.exists(path):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(path))
-
-
-def delete_folder(spark: SparkSession, folder: str) -> None:
-    path, fs = _file_system(spark, folder)
-    fs.delete(path, True)
-
-
-def _day(text: str, form: str) -> dt.date | None:
-    try:
-        return dt.datetime.strptime(text, form).date()
-    except ValueError:
-        return None
-
-
 def raw_days(spark: SparkSession, prefix: str) -> list[dt.date]:
     """Days of the ``events_YYYYMMDD.parquet`` exports (files or folders) directly under
     ``prefix``; malformed names and dates are skipped."""
     found = (re.fullmatch(RAW_FILE_PATTERN, n) for n in list_names(spark, prefix))
-    return sorted({d for m in found if m and (d := _day(m[1], "%Y%m%d"))})
+    return sorted({d for m in found if m and (d := as_day(m[1], "%Y%m%d"))})
 
 
 def partition_days(spark: SparkSession, prefix: str, column: str = "event_date_dt") -> list[dt.date]:
@@ -65,7 +46,7 @@ def partition_days(spark: SparkSession, prefix: str, column: str = "event_date_d
     partition and malformed names are skipped."""
     start = f"{column}="
     names = (n[len(start):] for n in list_names(spark, prefix) if n.startswith(start))
-    return sorted({d for n in names if (d := _day(n, "%Y-%m-%d"))})
+    return sorted({d for n in names if (d := as_day(n, "%Y-%m-%d"))})
 
 
 def days_frame(spark: SparkSession, days: Iterable[dt.date]) -> DataFrame:
@@ -165,8 +146,96 @@ def _export_day() -> Column:
     return F.try_to_date(F.regexp_extract(F.input_file_name(), rf".*/{RAW_FILE_PATTERN}(/|$)", 1), "yyyyMMdd")
 
 
-def _scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+def _scan(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame:
+    return spark.read.options(mergeSchema="true", **options).parquet(*paths)
+
+
+def same_types(a: T.DataType, b: T.DataType) -> bool:
+    """Whether no member that both have differs in type, so that one scan can read both."""
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        right = {f.name: f.dataType for f in b.fields}
+        return all(same_types(f.dataType, right.get(f.name, f.dataType)) for f in a.fields)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return same_types(a.elementType, b.elementType)
+    return a == b
+
+
+def scan_groups(schemas: Iterable[tuple[str, T.StructType]]) -> list[tuple[T.StructType, list[str]]]:
+    """Paths that one scan can read, each group with its merged schema."""
+    distinct: dict[str, tuple[T.StructType, list[str]]] = {}
+    for path, schema in schemas:
+        distinct.setdefault(schema.json(), (schema, []))[1].append(path)
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for schema, paths in distinct.values():
+        at = next((k for k, (g, _) in enumerate(groups) if same_types(g, schema)), None)
+        if at is None:
+            groups.append((schema, paths))
+        else:
+            groups[at] = (common_type(groups[at][0], schema), groups[at][1] + paths)
+    return groups
+
+
+FOOTERS = "path string, file string, schema string"
+
+
+def _footer_reader():
+    """Turns paths into (path, file, schema as JSON) of the Parquet files at or below each. A path in
+    a store that a task cannot open by itself has one row without a file. (A function made
+    here, so that tasks need not import this package.)"""
+
+    def rows_of(path: str) -> list[tuple]:
+        fs, root = pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path) if ":" in path else f"file://{path}")
+        info = fs.get_file_info(root)
+        found = [info] if info.is_file else [x for x in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if x.is_file]
+        out = []
+        for x in found:
+            below = x.path[len(root.rstrip("/")):]
+            if x.size and not re.search(r"(^|/)[_.][^/]*$", below):
+                schema = pq.read_schema(x.path, filesystem=fs)
+                own = (schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+                out.append((path, path.rstrip("/") + below, own.decode() if own else from_arrow_schema(schema).json()))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path in b.column("path").to_pylist():
+                try:
+                    rows = rows_of(path)
+                except (pa.ArrowException, OSError, NotImplementedError):
+                    rows = [(path, None, None)]
+                columns = zip(*rows, strict=True) if rows else [[]] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["path", "file", "schema"])
+
+    return run
+
+
+def footer_schemas(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, T.StructType]]:
+    """(file, schema) of every file at or below ``paths``, from one job that reads their footers in
+    tasks, whatever the number of paths. Paths in a store that only Spark's readers reach are
+    read one schema at a time."""
+    tasks = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
+    rows = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks).mapInArrow(_footer_reader(), FOOTERS).collect()
+    parsed: dict[str, T.StructType] = {}
+    out = []
+    for r in sorted(rows, key=lambda r: (r["path"], r["file"] or "")):
+        if r["file"] is None:
+            out.append((r["path"], _scan(spark, [r["path"]]).schema))
+            continue
+        if r["schema"] not in parsed:
+            parsed[r["schema"]] = ledger.nullable(T.StructType.fromJson(json.loads(r["schema"])))
+        out.append((r["file"], parsed[r["schema"]]))
+    return out
+
+
+def scans(spark: SparkSession, paths: Sequence[str], **options) -> list[DataFrame]:
+    """The files at ``paths`` in as few scans as their types allow: one, with the schema merged from
+    all footers, unless types conflict (INT32 in one file, INT64 or text in another)."""
+    try:
+        return [_scan(spark, paths, **options)]
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+    return [spark.read.options(**options).schema(s).parquet(*p) for s, p in scan_groups(footer_schemas(spark, paths))]
 
 
 def read_days(spark: SparkSession, prefix: str, days: Iterable[dt.date], schema: T.StructType = RAW_EVENT,
@@ -175,28 +244,43 @@ def read_days(spark: SparkSession, prefix: str, days: Iterable[dt.date], schema:
     fields; the members that ``schema`` names get its types (a value that does not fit is NULL).
 
     One scan whose schema is merged from the files' footers in one distributed read. Only where
-    types conflict (INT32 in one file, INT64 or text in another) the days are grouped by their
-    own schema: one scan per distinct schema, then a union over the common types.
-    ``export_day`` adds the day of the file each row came from.
+    types conflict (INT32 in one file, INT64 or text in another) the files are grouped by their
+    own schemas, read by one more job: one scan per group without a conflict, then a union over
+    the common types. ``export_day`` adds the day of the file each row came from.
     """
     paths = [f"{prefix.rstrip('/')}/{raw_file_name(d)}" for d in days]
     if not paths:
         return spark.createDataFrame([], model_type(T.StructType([]), schema))
-    try:
-        frames = [_scan(spark, paths)]
-    except (PySparkException, Py4JJavaError) as e:
-        if "CANNOT_MERGE_SCHEMAS" not in str(e):
-            raise
-        groups: dict[str, list[str]] = {}
-        for p in paths:
-            groups.setdefault(json.dumps(_scan(spark, [p]).schema.jsonValue()), []).append(p)
-        frames = [_scan(spark, g) for g in groups.values()]
+    frames = scans(spark, paths)
     if export_day:
         frames = [f.withColumn(EXPORT_DAY, _export_day()) for f in frames]
         schema = T.StructType([*schema.fields, T.StructField(EXPORT_DAY, T.DateType())])
     return union_days(frames, schema)
 
 
-def read_partitioned(spark: SparkSession, prefix: str) -> DataFrame:
-    """A Hive-partitioned dataset; filters on the partition column prune directories."""
-    return spark.read.option("mergeSchema", "true").parquet(prefix)
+def read_partitioned(spark: SparkSession, prefix: str, days: Iterable[dt.date] | None = None,
+                     column: str = "event_date_dt") -> DataFrame:
+    """A dataset partitioned by day, or only its partitions of ``days``.
+
+    Only the partition folders asked for are listed. Their schemas come from the ledger stored
+    beside the data (``sources.ledger``), so no footer is opened before the scan; the footers of
+    days that the ledger does not know are read, and of no others. Days whose types conflict are
+    read in scans of their own and united over the common types. A dataset that is not partitioned
+    by ``column`` is read as a whole.
+    """
+    prefix = prefix.rstrip("/")
+    folders = {n: as_day(n[len(column) + 1:], "%Y-%m-%d") for n in list_names(spark, prefix) if n.startswith(f"{column}=")}
+    if not folders:
+        return spark.read.option("mergeSchema", "true").parquet(prefix)
+    wanted = set(folders.values()) if days is None else set(days)
+    chosen = {n: d for n, d in folders.items() if d in wanted}
+    if not chosen:  # no such day: no rows, in the shape of the last one
+        return read_partitioned(spark, prefix, [max(d for d in folders.values() if d)], column).limit(0)
+    known = ledger.stored_schemas(spark, prefix, chosen.values())
+    frames = []
+    for schema, paths in scan_groups((f"{prefix}/{n}", known[d]) for n, d in chosen.items() if d in known):
+        reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(column, T.DateType())]))
+        frames.append(reader.option("basePath", prefix).parquet(*paths))
+    if unknown := [f"{prefix}/{n}" for n, d in chosen.items() if d not in known]:
+        frames += scans(spark, unknown, basePath=prefix)
+    return frames[0] if len(frames) == 1 else union_days(frames)

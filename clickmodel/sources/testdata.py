@@ -257,10 +257,10 @@ def user_snapshot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_exports(spark: SparkSession, raw: DataFrame, root: str, day: str = "event_date") -> None:
     """Writes raw rows as one export per value of ``day`` (YYYYMMDD): ``events_YYYYMMDD.parquet``
     folders, the landing zone's form. All of a call's days are written by one job."""
-    from clickmodel.sources.files import _file_system, list_names
+    from clickmodel.sources.fs import file_system, list_names
     staging = f"{root}/__landing-{uuid.uuid4().hex}"
     raw.withColumn("__day", F.col(day)).write.partitionBy("__day").parquet(staging)
-    path, fs = _file_system(spark, root)
+    path, fs = file_system(spark, root)
     for name in list_names(spark, staging):
         if name.startswith("__day="):
             target = f"{root}/events_{name[len('__day='):]}.parquet"
