@@ -101,7 +101,7 @@ def _regions(sig: np.ndarray) -> np.ndarray:
     return out
 
 
-FEATURES = "_id bigint, n bigint, node bigint, sketch binary, regions binary"
+FEATURES = "_id bigint, n bigint, node bigint, sketch binary, regions binary, text_hash bigint"
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,8 +118,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for k, s, r in zip(full.tolist(), _sketch(sig), _regions(sig), strict=True):
                     sketch[k], regions[k] = s.tobytes(), r.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [b.column("_id"), pa.array(size, pa.int64()), pa.array(node, pa.int64(), mask=size == 0), pa.array(sketch, pa.binary()), pa.array(regions, pa.binary())],
-                ["_id", "n", "node", "sketch", "regions"],
+                [b.column("_id"), pa.array(size, pa.int64()), pa.array(node, pa.int64(), mask=size == 0), pa.array(sketch, pa.binary()), pa.array(regions, pa.binary()), b.column("text_hash")],
+                ["_id", "n", "node", "sketch", "regions", "text_hash"],
             )
 
 
@@ -313,12 +313,13 @@ def _grouped(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, node, component_id, root) of every row; ``root`` is the least node of the
-    group, which tells apart groups of one least id (rows without an id, texts sharing an id)."""
+    """(id, n_shingles, node, component_id, root, text_hash) of every row; ``root`` is the least node
+    of the group, which tells apart groups of one least id (rows without an id, texts sharing an
+    id); ``text_hash`` is the xxhash64 of the text."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
-    features = scratch.written(rows.mapInArrow(_features, FEATURES), "features")
+    features = scratch.written(rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_features, FEATURES), "features")
     nodes = features.where("n > 0").groupBy("node").agg(F.min("_id").alias("_id"), F.first("sketch").alias("sketch"), F.first("regions").alias("regions"))
     nodes = scratch.written(nodes, "nodes")
     # Candidates: regions with several nodes, each sorted by the rest of its order.
@@ -360,34 +361,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, parts: int | None =
     known = nodes.select("node", "_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = known.groupBy("root").agg(F.min("_id").alias("component_id"))
     of_node = scratch.written(known.join(least, "root").select("node", "component_id", "root"), "components")
-    out = features.select("_id", "n", "node").join(of_node, "node", "left")
-    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "_id").alias("component_id"), "root")
-
-
-def _with_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for a in range(0, whole.num_rows, BATCH_TEXTS):
-            b = whole.slice(a, BATCH_TEXTS)
-            first, hashes = shingle_sets(b.column("_text"))
-            node = pa.array(_digests(first, hashes).view(np.int64), pa.int64(), mask=np.diff(first) == 0)
-            yield pa.RecordBatch.from_arrays([b.column("_row"), b.column("_id"), node], ["_row", "_id", "_node"])
+    out = features.select("_id", "n", "node", "text_hash").join(of_node, "node", "left")
+    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "_id").alias("component_id"), "root", "text_hash")
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """One document of each group, the one with the least id (NULL last, then the least node), with
-    the input's columns (stage form). Documents without words stay; of rows that repeat an id and
-    a set one stays."""
+    """One document of each group, the one with the least id (NULL last, then the least node, then
+    the least text hash), with the input's columns (stage form). Documents without words stay; of
+    rows that repeat an id and a set one stays.
+
+    Survivors are chosen on rows of (id, node, root, text hash). The documents themselves move
+    once, dealt by (id, text hash), at most one row of each such key from a task."""
     names = docs.columns
-    packed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs["doc_id"].cast("long").alias("_id"), docs["text"].alias("_text"))
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs["doc_id"].cast("long").alias("_id"), docs["text"].alias("_text"))
+    worded = F.coalesce(F.col("_text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     judged = near_duplicates(docs.select(docs["doc_id"], docs["text"]), **how)
-    carrier = F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("node").alias("n")))
-    first = judged.where("node is not null").groupBy("root").agg(carrier.alias("c")).select(F.col("c.i").alias("_first"), F.col("c.n").alias("node"))
-    row_type = packed.schema["_row"].dataType.simpleString()
-    marked = packed.mapInArrow(_with_nodes, f"_row {row_type}, _id bigint, _node bigint")
-    kept = marked.join(
-        first.hint("shuffle_hash"),
-        F.col("_id").eqNullSafe(F.col("_first")) & (F.col("_node") == F.col("node")), "left_semi",
-    )
-    kept = kept.withColumn("_k", F.row_number().over(Window.partitionBy("_id", "_node").orderBy("_node"))).where("_k = 1")
-    out = kept.select("_row").unionByName(marked.where("_node is null").select("_row"))
+    carrier = F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), "node", "text_hash"))
+    key = [F.col("_id").isNull().alias("_z"), F.coalesce("_id", F.lit(0)).alias("_i"), F.xxhash64("_text").alias("_h")]
+    first = judged.where("node is not null").groupBy("root").agg(carrier.alias("c"))
+    first = first.select(F.col("c.z").alias("_z"), F.coalesce("c.i", F.lit(0)).alias("_i"), F.col("c.text_hash").alias("_h"))
+    keyed = rows.where(worded).select("_row", *key)
+    one = keyed.withColumn("_k", F.row_number().over(Window.partitionBy("_z", "_i", "_h").orderBy("_h"))).where("_k = 1")
+    kept = one.join(first.hint("shuffle_hash"), ["_z", "_i", "_h"], "left_semi").select("_row")
+    out = kept.unionByName(rows.where(~worded).select("_row"))
     return out.select(*[F.col("_row").getField(c).alias(c) for c in names])
