@@ -127,45 +127,40 @@ def _pack(height: int):
 
 
 # ------------------------------------------------------------------ upper nodes
-NODES = "tree bigint, level int, idx bigint, digest string"
+NODES = "tree bigint, level int, idx bigint, digest string, n bigint, top boolean"
 
 
 def _fold_groups(height: int):
     """All nodes above a group of consecutive nodes, up to its root. A group that is a whole tree
-    ends at its only node, any other after ``height`` levels."""
-    schema = pa.schema([("tree", pa.int64()), ("level", pa.int32()), ("idx", pa.int64()), ("digest", pa.string())])
+    ends at its only node, any other after ``height`` levels, at the next tier's nodes."""
+    schema = pa.schema([("tree", pa.int64()), ("level", pa.int32()), ("idx", pa.int64()), ("digest", pa.string()), ("n", pa.int64()), ("top", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for r in b.to_pylist():
                 members = [m["digest"] for m in sorted(r["members"], key=lambda m: m["idx"])]
-                up = levels(members, None if r["n"] <= ARITY**height else height)
-                for h, nodes in enumerate(up[1:], 1):
+                whole, n = r["n"] <= ARITY**height, -(-r["n"] // ARITY**height)
+                for h, nodes in enumerate(levels(members, None if whole else height)[1:], 1):
                     first = r["grp"] * ARITY ** (height - h)
-                    out += [{"tree": r["tree"], "level": r["level"] + h, "idx": first + i, "digest": x} for i, x in enumerate(nodes)]
+                    out += [{"tree": r["tree"], "level": r["level"] + h, "idx": first + i, "digest": x, "n": n, "top": h == height and not whole} for i, x in enumerate(nodes)]
             yield pa.RecordBatch.from_pylist(out, schema)
 
     return run
 
 
-def climb(nodes: DataFrame, sizes: DataFrame, height: int, name: str) -> DataFrame:
-    """All (tree, level, idx, digest) from ``nodes`` (one level of each tree) up to the roots.
-    ``sizes`` has the number n of nodes that each tree has in that level. The tiers are as many
-    as the largest tree needs; only that tree's size comes to the driver."""
-    group = ARITY**height
-    most = sizes.agg(F.max("n")).first()[0] or 0
-    found = scratch.written(nodes.select("tree", "level", "idx", "digest"), name)
-    below, counts = found, sizes
+def climb(nodes: DataFrame, height: int, name: str) -> DataFrame:
+    """All (tree, level, idx, digest) from ``nodes`` (one level of each tree, with the number n of
+    nodes that its tree has there) up to the roots. The tiers are as many as the largest tree
+    needs; only that tree's size comes to the driver."""
+    below = scratch.written(nodes.select("tree", "level", "idx", "digest", "n"), name)
+    found, most = below.drop("n"), below.agg(F.max("n")).first()[0] or 0
     while most > 1:
-        here = below.join(counts.where("n > 1"), "tree").withColumn("grp", F.floor(F.col("idx") / group).cast("long"))
-        groups = here.groupBy("tree", "level", "grp").agg(F.max("n").alias("n"), F.collect_list(F.struct("idx", "digest")).alias("members"))
+        grouped = below.where("n > 1").groupBy("tree", "level", F.floor(F.col("idx") / ARITY**height).cast("long").alias("grp"))
+        groups = grouped.agg(F.max("n").alias("n"), F.collect_list(F.struct("idx", "digest")).alias("members"))
         made = scratch.written(groups.mapInArrow(_fold_groups(height), NODES), name)
-        found = found.unionByName(made)
-        top = here.select("tree", (F.col("level") + height).alias("level")).distinct()
-        below = made.join(top, ["tree", "level"], "left_semi")
-        counts = counts.where("n > 1").select("tree", F.ceil(F.col("n") / group).cast("long").alias("n"))
-        most = -(-most // group)
+        found = found.unionByName(made.drop("n", "top"))
+        below, most = made.where("top"), -(-most // ARITY**height)
     return found
 
 
@@ -291,12 +286,12 @@ def manifest(docs: DataFrame, height: int = HEIGHT) -> tuple[DataFrame, DataFram
     roots = blocks.select("chunk", "place", "source", "block", "alone", "root").join(sources, F.col("source").eqNullSafe(F.col("_s")))
     roots = scratch.written(roots.select("chunk", "place", "tree", "n_blocks", "block", "alone", "root"), "roots")
     whole = F.when(F.col("n_blocks") > 1, F.col("root")).otherwise(F.col("alone"))
-    lower = roots.select("tree", F.lit(height).alias("level"), F.col("block").alias("idx"), whole.alias("digest"))
-    nodes = climb(lower, sources.select("tree", F.col("n_blocks").alias("n")), height, "nodes")
+    lower = roots.select("tree", F.lit(height).alias("level"), F.col("block").alias("idx"), whole.alias("digest"), F.col("n_blocks").alias("n"))
+    nodes = climb(lower, height, "nodes")
     subroots = nodes.groupBy("tree").agg(F.max_by("digest", "level").alias("digest"))
-    n_trees, one = sources.count(), F.lit(TOP).cast("long").alias("tree")
-    top = subroots.select(one, F.lit(0).alias("level"), F.col("tree").alias("idx"), "digest")
-    top = climb(top, spark.range(1).select(one, F.lit(n_trees).cast("long").alias("n")), height, "top")
+    n_trees = sources.count()
+    top = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("idx"), "digest", F.lit(n_trees).cast("long").alias("n"))
+    top = climb(top, height, "top")
     return blocks.drop("alone", "root"), roots, nodes.unionByName(top), n_trees
 
 
