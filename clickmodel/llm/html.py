@@ -23,6 +23,7 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -61,11 +62,47 @@ COMMENTS = frozenset("comment comments commentlist disqus replies respond".split
 LAYOUTS = frozenset("no not non has have with without".split())
 OWN = frozenset("article entry headline post section story title".split())
 ARTICLE = frozenset(["article", "main"])
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)(?=[a-zA-Z])", re.S)
+_NAME_END = re.compile(r"[\s/>]|\Z")
+_TAG_END = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
+class Tags:
+    """Finds where tags end, in one pass over a source however it is broken: what led nowhere once is
+    not searched again."""
+
+    def __init__(self, source: str):
+        self.source, self.dead, self.nothing_from, self.name_end = source, set(), len(source), -1
+
+    def after_name(self, at: int) -> int:
+        """The end of the tag name that begins at ``at``; calls go forward."""
+        if at > self.name_end:
+            self.name_end = _NAME_END.search(self.source, at).start()
+        return self.name_end
+
+    def close(self, at: int) -> int:
+        """The place of the ">" that ends a tag whose attributes begin at ``at``, past quoted
+        values; -1 if a quote stays open or none comes."""
+        seen = []
+        while at < self.nothing_from:
+            m = _TAG_END.search(self.source, at)
+            if m is None:
+                self.nothing_from = at
+                break
+            if m.start() in self.dead:
+                break
+            if m[0] == ">":
+                return m.start()
+            seen.append(m.start())
+            at = self.source.find(m[0], m.end()) + 1
+            if not at:
+                break
+        self.dead.update(seen)
+        return -1
+
+
 class Page:
     """A page's nodes in page order: tag, parent, and the pieces of text with their nodes."""
 
@@ -74,21 +111,29 @@ class Page:
         self.pieces: list[tuple[int, str]] = []  # (node, text); at an opened or closed block: (node, None)
         self.first, self.last = [0], [0]  # of each node's pieces
         self.plain: list[int] | None = None
-        stack, at, end = [0], 0, len(source)
+        self.opened: Counter[str] = Counter()  # tags on the stack
+        stack, at, look, end, tags = [0], 0, 0, len(source), Tags(source)
         while at < end:
-            m = _TOKEN.search(source, at)
+            m = _TOKEN.search(source, look)
+            is_tag, closed = m is not None and m[2] is not None, -1
+            if is_tag:
+                named = tags.after_name(m.end())
+                closed = tags.close(named)
+                if closed < 0:  # no tag: its "<" is text
+                    look = m.start() + 1
+                    continue
             if (m.start() if m else end) > at:
                 self.pieces.append((stack[-1], source[at : m.start() if m else end]))
             if not m:
                 break
-            at = m.end()
+            at = look = closed + 1 if is_tag else m.end()
             if m[1] is not None:
                 self.pieces.append((stack[-1], m[1].replace("&", "&amp;")))
-            if not m[3]:
+            if not is_tag:
                 continue
-            tag = m[3].lower()
+            tag, attributes = source[m.end() : named].lower(), source[named:closed]
             if m[2]:
-                if tag in self._open(stack):
+                if self.opened[tag]:
                     while self.tags[stack[-1]] != tag:
                         self._close(stack)
                     self._close(stack)
@@ -99,37 +144,36 @@ class Page:
             node = len(self.tags)
             self.tags.append(tag)
             self.parents.append(stack[-1])
-            self.attributes.append(m[4])
+            self.attributes.append(attributes)
             if tag in BLOCKS:
                 self.pieces.append((node, None))
             elif tag == "br":
                 self.pieces.append((stack[-1], " "))
             self.first.append(len(self.pieces))
             self.last.append(len(self.pieces))
-            if tag in VOID or m[4].endswith("/") and tag not in BLOCKS:
+            if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
                 continue
             stack.append(node)
+            self.opened[tag] += 1
             if tag in RAW:  # its content is text up to the end tag
                 close = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
                 self.pieces.append((node, source[at : close.start() if close else end]))
-                at = close.end() if close else end
+                at = look = close.end() if close else end
                 self._close(stack)
         while len(stack) > 1:
             self._close(stack)
         self.last[0] = len(self.pieces)
 
-    def _open(self, stack):
-        return {self.tags[n] for n in stack[1:]}
-
     def _close(self, stack):
         node = stack.pop()
+        self.opened[self.tags[node]] -= 1
         self.last[node] = len(self.pieces)
         if self.tags[node] in BLOCKS:
             self.pieces.append((node, None))
 
     def _make_room(self, stack, tag):
         """Closes what a start tag ends: an open paragraph, list item, cell or row."""
-        if tag in BLOCKS:
+        if tag in BLOCKS and self.opened["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 t = self.tags[stack[k]]
                 if t == "p":
@@ -138,7 +182,8 @@ class Page:
                     break
                 if t in BLOCKS:
                     break
-        if ends := ENDS.get(tag):
+        ends = ENDS.get(tag, frozenset())
+        if any(self.opened[t] for t in ends):
             for k in range(len(stack) - 1, 0, -1):
                 t = self.tags[stack[k]]
                 if t in ends:
