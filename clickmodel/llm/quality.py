@@ -49,20 +49,25 @@ def features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         pair = mix(words.hashes[near] ^ words.hashes[near + 1])
         yield doc[near], WORD_BUCKETS + ((pair >> U(20)) % U(PAIR_BUCKETS)).astype(np.int64)
     # Character n-grams, with the white space beside a word as its border.
-    data, inside = words.data, ~SPACE[words.data]
     if not n:
         return
-    owner = np.repeat(np.arange(len(texts)), words.byte_counts)
-    code = np.where(inside, data, 32).astype(np.uint64)
+    lead = np.flatnonzero((words.data & 0xC0) != 0x80)  # UTF-8: each character's first byte
+    inside = ~SPACE[words.data[lead]]
+    owner = np.repeat(np.arange(len(texts)), words.byte_counts)[lead]
+    code = np.where(inside, words.data[lead], 32).astype(np.uint64)
+    width = np.diff(np.r_[lead, len(words.data)])
+    for k in range(1, 4):
+        more = np.flatnonzero(width > k)
+        code[more] = code[more] * U(256) + words.data[lead[more] + k].astype(np.uint64)
     for size in GRAMS:
-        if len(data) < size:
+        if len(lead) < size:
             continue
-        m = len(data) - size + 1
+        m = len(lead) - size + 1
         good = owner[:m] == owner[size - 1 :]
         key = np.full(m, size, np.uint64)
         with np.errstate(over="ignore"):
             for k in range(size):
-                key = key * U(257) + code[k : k + m]
+                key = key * U(0x9E3779B97F4A7C15) + code[k : k + m]
                 if 0 < k < size - 1:
                     good &= inside[k : k + m]
         at = np.flatnonzero(good)
