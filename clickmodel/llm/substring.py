@@ -5,7 +5,8 @@ Every document is cut into non-overlapping blocks of ``block`` words, at most ha
 each window of a document holds a whole block of it. The blocks' fingerprints are the index.
 Every rolling run of ``block`` words of every document probes it. Around each hit, the windows
 that hold the hit are compared by fingerprint across documents: those found in a document with a
-smaller id are covered, and runs of covered windows are the maximal exact repeats.
+smaller id are covered, and runs of covered windows are the maximal exact repeats. Copies of a
+whole text go past the anchors: all their windows are covered by the least id that has the text.
 
 Fingerprints travel packed: one row per batch of documents and part of the fingerprint space,
 with the documents' ids, counts and fingerprints as binary columns. The index and the probes of
@@ -226,6 +227,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, pa
     prints = named.select("_id", F.unhex(F.md5("text")).alias("_m"), F.xxhash64("text").alias("_x"))
     leads = prints.groupBy("_m", "_x").agg(F.min("_id").alias("_lead"), F.count("*").alias("_n")).where("_n > 1")
     alone = prints.groupBy("_id").agg(F.count("*").alias("_rows"), F.first("_m").alias("_m"), F.first("_x").alias("_x")).where("_rows = 1")
+    # (Written, so that Spark may split a text with many copies in the join.)
+    alone, leads = scratch.written(alone.drop("_rows"), "texts"), scratch.written(leads.drop("_n"), "leads")
     copies = alone.join(leads, ["_m", "_x"]).where("_id > _lead").select("_id")
     copies = scratch.written(copies.withColumn("copy", F.lit(True)), "copies")
     anchors = named.mapInArrow(_anchor_cells(parts, window, block), CELLS)
