@@ -7,9 +7,9 @@ into and at most the next few. A chunk of several lines that stands elsewhere in
 is removed, all but its first place (least id, then earliest); chunks are found by hash and
 removed after comparing bytes.
 
-Chunks are joined as (hash, place) first; only chunks whose hash occurs twice send their bytes,
-and the first place's bytes go to the others through a join that Spark may split. Everything is
-DataFrame code; no user functions.
+Hashes and places are grouped first; chunks meet the hashes that occur twice, and the others of a
+hash the first place's bytes, in joins that Spark may split. Everything is DataFrame code; no
+user functions.
 
 Defined results: NULL and empty texts have no lines and stay as they are (a NULL text stays
 NULL); a chunk of one line, or of white space alone, is never removed; a NULL id comes after all
@@ -69,6 +69,7 @@ def repeated_chunks(docs: DataFrame, one_in: int = ONE_IN, roll: int = ROLL, id_
     place = F.struct(F.col("_id").isNull().alias("z"), F.col("_id").alias("i"), F.col("_x").alias("x"), F.col("pos").alias("p"))
     keyed = multi.select(F.xxhash64("chunk").alias("_h"), F.length("chunk").alias("_len"), place.alias("_at"), "n", "chunk")
     heads = keyed.groupBy("_h", "_len").agg(F.min("_at").alias("_first"), F.count("*").alias("_k")).where("_k > 1").drop("_k")
+    heads = scratch.written(heads, "heads")  # so that Spark may split the chunks of a frequent hash in the join
     twice = scratch.written(keyed.join(heads, ["_h", "_len"]), "repeated-chunks")
     first = twice.where("_at = _first").select("_h", "_len", F.col("chunk").alias("_bytes")).dropDuplicates(["_h", "_len"])
     later = twice.where("_at <> _first").join(scratch.written(first, "first-chunks"), ["_h", "_len"])
