@@ -149,7 +149,8 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer_path: str, limit: i
     encoded = texts.select("digest", "text").mapInArrow(_encode_misses(spark.sparkContext.broadcast(spec), version), CACHE_SCHEMA)
     encoded.write.mode("append").parquet(cache_path)
     slim = rows.select("_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    out = slim.join(_stored(spark, cache_path, version), "digest", "left")
+    counts = scratch.written(_stored(spark, cache_path, version), "token-counts-now")  # so that Spark may split a text with many copies
+    out = slim.join(counts, "digest", "left")
     return out.select(F.col("_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
