@@ -7,7 +7,7 @@ word ranges, and the words' byte ranges give the character offsets in the origin
 
 The automaton is the only thing sent to all workers. Its patterns are counted first; over
 ``max_pattern_bytes`` the patterns are dealt into several automata of that size, and the
-documents are scanned once for each.
+documents are scanned once for each, in stages of their own, so that a worker holds one.
 
 Defined results: NULL and empty texts have no words and are clean; items without a word have no
 pattern; items with a NULL id mark words but are not listed; repeated rows are judged apart;
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from clickmodel.llm import scratch
 
 WINDOW = 10
-MAX_PATTERN_BYTES = 64 << 20
+MAX_PATTERN_BYTES = 8 << 20  # an automaton takes some 40 times as much memory, in every worker
 # Upper-case ASCII letters to lower case, all other ASCII but digits and letters to a space.
 NORMAL = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256)
@@ -171,6 +171,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW
         part = patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(shards)) == k)
         shared = spark.sparkContext.broadcast([(bytes(p), list(i)) for p, i in part.collect()])
         rows = rows.mapInArrow(_scanner(uuid.uuid4().hex, shared, len(keep)), state)
+        if k < shards - 1:
+            rows = scratch.written(rows, "scanned")
     return rows.mapInArrow(_finish(len(keep)), ", ".join([*kept, f"n_words bigint, n_hit bigint, item_ids array<bigint>, spans {_PAIRS_SQL}"]))
 
 
