@@ -3,7 +3,11 @@
 Entities are detected in the whole text and replaced by made-up values of the same type: same
 layout, letters' case and script, digit counts, a card number's check digit, a name's gender.
 A surrogate is drawn from a keyed hash (HMAC-SHA256) of the entity's type and canonical form, so
-one entity has one surrogate in every document, in whatever layout it is written.
+one entity has one surrogate in every document, in whatever layout it is written. A name's gender
+is no part of the entity: it is settled over the corpus (that of all its titles that tell one; none
+if they disagree) and only shapes the surrogate's ending. A phone number is known by its
+national digits: country code, trunk zero, first digit and layout stay. An IPv4 address stays in
+its private, loopback or link-local network, or stays public.
 
 Distinctness is checked over the corpus: all distinct entities propose a surrogate; where two
 propose the same, or one proposes an entity that the corpus holds, all but the least entity of a
@@ -48,6 +52,9 @@ TITLES = {
     "Mrs": FEMALE, "Ms": FEMALE, "Miss": FEMALE, "Madam": FEMALE, "Frau": FEMALE, "Madame": FEMALE, "Mme": FEMALE, "Señora": FEMALE, "Sra": FEMALE,
     "г-жа": FEMALE, "госпожа": FEMALE, "Dr": ANY, "Prof": ANY,
 }
+# Country codes of one and of two digits (all others have three), and networks that are not public.
+CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+NETWORKS = tuple(map(ipaddress.IPv4Network, ("10.0.0.0/8", "172.16.0.0/12", "192.168.0.0/16", "127.0.0.0/8", "169.254.0.0/16")))
 _UPPER, _LOWER = r"A-ZÀ-ÖØ-ÞА-ЯЁ", r"a-zß-öø-ÿа-яё"
 _PATTERNS = {
     "email": r"(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}(?![\w-])",
@@ -101,6 +108,20 @@ def _ipv6(mention: str) -> str | None:
     return str(address)
 
 
+def national(mention: str) -> str:
+    """A phone number's digits without country code and trunk zero."""
+    digits = re.sub(r"\D", "", mention)
+    if mention.startswith("+"):
+        digits = digits[next((n for n in (1, 2) if digits[:n] in CODES), 3):]
+    return digits.removeprefix("0")
+
+
+def entity_type(kind: str) -> str:
+    """The type that tells entities apart: a name's without its gender."""
+    parts = kind.split(":")
+    return f"{parts[0]}:{parts[2]}" if len(parts) == 3 else kind
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of the entities of a text, not overlapping, in order."""
     found: list[tuple[int, int, str, str]] = []
@@ -119,8 +140,10 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
                     continue
                 if kind == "iban" and not 15 <= len(form) <= 34:
                     continue
-                if kind == "phone" and not 7 <= len(form) <= 15:
-                    continue
+                if kind == "phone":
+                    if not 7 <= len(form) <= 15:
+                        continue
+                    form = national(m[0])
                 found.append((m.start(), m.end(), kind, form))
     found += [(m.start(2), m.end(2), "secret", m[2].lower() if re.fullmatch("[0-9a-fA-F]{32,}", m[2]) else m[2]) for m in _LABELLED.finditer(text)]
     found += [(m.start(1), m.end(1), "secret", m[1].lower() if re.fullmatch("[0-9a-fA-F]{32,}", m[1]) else m[1]) for m in _UNQUOTED.finditer(text)]
@@ -187,9 +210,24 @@ def iban_check(body: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+def _ipv4_like(entity: str, s: Stream) -> str:
+    """An address of the same network, where that is not public, or another public one."""
+    octets = list(map(int, entity.split(".")))
+    address = ipaddress.IPv4Address(bytes(octets))
+    for net in NETWORKS:
+        if address in net:
+            return str(net[1 + s.below(net.num_addresses - 2)])
+    public = lambda a: a.is_global and not a.is_multicast
+    while True:
+        first = [] if public(address) else octets[:1]
+        new = ipaddress.IPv4Address(bytes([*first, *(1 + s.below(254) for _ in octets[len(first):])]))
+        if first or public(new):
+            return str(new)
+
+
 def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     """The canonical form that replaces ``entity``."""
-    s = Stream(key, kind, entity, attempt)
+    s = Stream(key, entity_type(kind), entity, attempt)
     part = kind.split(":")
     if part[0] in ("given", "family"):
         _, gender, script = part
@@ -205,7 +243,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         *labels, top = domain.split(".")
         return "".join(_like(c, s) for c in local) + "@" + ".".join("".join(_like(c, s) for c in x) for x in labels) + "." + top
     if kind == "ipv4":
-        return ".".join(str(1 + s.below(254)) for _ in range(4))
+        return _ipv4_like(entity, s)
     if kind == "ipv6":
         return str(ipaddress.IPv6Address(":".join(f"{s.below(65535) + 1:x}" for _ in range(8))))
     if kind == "card":
@@ -218,8 +256,9 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         out = entity[:2] + "00" + "".join(_like(c, s) for c in entity[4:])
         return out[:2] + iban_check(out) + out[4:]
     if kind == "phone":
-        keep = 1 if entity.startswith("1") and len(entity) == 11 else 0
-        return entity[:keep] + "".join(s.one(string.digits) for _ in entity[keep:])
+        # North American numbers have no 0 or 1 in the fourth place.
+        exchange = 3 if re.fullmatch(r"[2-9]\d\d[2-9]\d{6}", entity) else -1
+        return entity[:1] + "".join(s.one("23456789" if k == exchange else string.digits) for k in range(1, len(entity)))
     if kind == "ssn":
         return f"{900 + s.below(100):03d}{s.below(100):02d}{s.below(10000):04d}"
     if re.fullmatch("[0-9a-f]{32,}", entity):
@@ -232,7 +271,8 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
 def written_like(mention: str, kind: str, new: str) -> str:
     """The surrogate in the layout and case of the mention."""
     if kind in ("card", "iban", "phone", "ssn"):
-        chars = iter(new)
+        before = sum(map(str.isalnum, mention)) - len(new)  # a phone's country code and trunk zero
+        chars = iter("".join(filter(str.isalnum, mention))[:before] + new)
         return "".join(next(chars) if c.isalnum() else c for c in mention)
     if kind == "email" or (kind == "secret" and len(mention) >= 32) or ":" in kind:
         if mention.isupper():
@@ -275,17 +315,25 @@ def _draw(key: bytes):
 
 
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, form, new) with a surrogate of its own for every distinct entity.
+    """(kind, form, new) with a surrogate of its own for every distinct entity, the same for all
+    genders that its mentions are of.
 
     Entities compete within their first type word (given, family, email and so on). A surrogate
     that is itself an entity of the corpus, or that another has, is drawn again."""
     spark = entities.sparkSession
-    entities = scratch.written(entities.select("kind", "form").distinct(), "entities")
+    mentioned = scratch.written(entities.select("kind", "form").distinct(), "entities")
+    part = lambda n: F.split_part(F.col("kind"), F.lit(":"), F.lit(n))
+    named = part(3) != ""
+    typed = mentioned.withColumns({"type": F.when(named, F.concat_ws(":", part(1), part(3))).otherwise(F.col("kind")), "gender": F.when(named & part(2).isin(MALE, FEMALE), part(2))})
+    told = F.collect_set("gender")
+    distinct = typed.groupBy("type", "form").agg(F.when(F.size(told) == 1, told[0]).otherwise(ANY).alias("gender"), F.max(named).alias("named"))
+    whole = F.concat_ws(":", F.split_part("type", F.lit(":"), F.lit(1)), "gender", F.split_part("type", F.lit(":"), F.lit(2)))
+    distinct = scratch.written(distinct.select("type", "form", F.when(F.col("named"), whole).otherwise(F.col("type")).alias("kind")), "distinct-entities")
     family = lambda c: F.split_part(F.col(c), F.lit(":"), F.lit(1))
-    real = entities.select(family("kind").alias("family"), F.col("form").alias("new")).distinct()
+    real = distinct.select(family("kind").alias("family"), F.col("form").alias("new")).distinct()
     schema = "kind string, form string, attempt int, new string"
     settled = spark.createDataFrame([], schema)
-    open_, attempt = entities, 0
+    open_, attempt = distinct.select("kind", "form"), 0
     while attempt == 0 or not open_.isEmpty():
         drawn = open_.withColumn("attempt", F.lit(attempt)).mapInArrow(_draw(key), schema).withColumn("family", family("kind"))
         taken = real if attempt == 0 else real.unionByName(settled.select(family("kind").alias("family"), "new"))
@@ -293,9 +341,10 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         least = free.groupBy("family", "new").agg(F.min(F.struct("kind", "form")).alias("owner"), F.first("attempt").alias("attempt"))
         good = least.select("owner.kind", "owner.form", "attempt", "new")
         settled = scratch.written(settled.unionByName(good), "surrogates")
-        open_ = entities.join(settled, ["kind", "form"], "left_anti")
+        open_ = distinct.select("kind", "form").join(settled, ["kind", "form"], "left_anti")
         attempt += 1
-    return settled.select("kind", "form", "new")
+    chosen = distinct.join(settled.select("kind", "form", "new"), ["kind", "form"]).select("type", "form", "new")
+    return scratch.written(typed.join(chosen, ["type", "form"]).select("kind", "form", "new"), "assigned")
 
 
 def _rewrite(n_keep: int):

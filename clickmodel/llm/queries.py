@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import functools
 import os
+import secrets
 from collections.abc import Callable
 from pathlib import Path
 
@@ -47,9 +48,15 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+KEY = "spark.clickmodel.surrogateKey"
+
+
 def surrogate_key(spark: SparkSession) -> bytes:
-    """The key of the surrogates; a deployment sets its own in the session."""
-    return spark.conf.get("spark.clickmodel.surrogateKey", "clickmodel").encode()
+    """The key of the surrogates, set in the session. Without one a random key is made for the
+    session: surrogates then cannot be recomputed, nor agree with those of another session."""
+    if spark.conf.get(KEY, None) is None:
+        spark.conf.set(KEY, secrets.token_hex(32))
+    return spark.conf.get(KEY).encode()
 
 
 @register("op1_pii_surrogates")
@@ -101,19 +108,25 @@ cov AS (SELECT r, count(DISTINCT p + o) AS n FROM rep, (SELECT unnest([0, 1, 2,
 words AS (SELECT r, count(*) AS n_words, sum(length(x)) AS word_chars,
   count(*) FILTER (WHERE rtrim(lower(x), ',.;:') IN ({_STOPS})) AS stops,
   count(*) FILTER (WHERE suffix(x, '!!')) AS shouts,
-  count(*) FILTER (WHERE x = before) AS stutters
-  FROM (SELECT r, x, lag(x) OVER (PARTITION BY r ORDER BY p) AS before FROM u) GROUP BY r),
+  count(*) FILTER (WHERE x = before) AS stutters,
+  count(bare) FILTER (WHERE length(bare) <= 4 AND regexp_full_match(bare, '\p{{L}}+')) AS shorts,
+  count(DISTINCT bare) FILTER (WHERE length(bare) <= 4 AND regexp_full_match(bare, '\p{{L}}+')) AS short_kinds
+  FROM (SELECT r, x, rtrim(lower(x), ',.;:') AS bare, lag(x) OVER (PARTITION BY r ORDER BY p) AS before FROM u) GROUP BY r),
+o AS (SELECT r, regexp_replace(t, '[\x{{0}}-\x{{24F}}\x{{1E00}}-\x{{1EFF}}\P{{L}}]+', '', 'g') AS o FROM d),
+script AS (SELECT r, length(o) AS other,
+  length(regexp_replace(o, '[^\p{{Han}}\p{{Hiragana}}\p{{Katakana}}\p{{Thai}}\p{{Lao}}\p{{Khmer}}\p{{Myanmar}}\p{{Tibetan}}]+', '', 'g')) AS unspaced FROM o),
 lines AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT l) AS dups FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d)
   WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
 s AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
   coalesce(dups, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
-  coalesce(stops, 0) AS stops, coalesce(shouts, 0) AS shouts, coalesce(stutters, 0) AS stutters, coalesce(n_lines, 0) AS n_lines
-  FROM d LEFT JOIN words USING (r) LEFT JOIN lines USING (r) LEFT JOIN cov USING (r)),
+  coalesce(stops, 0) AS stops, coalesce(shouts, 0) AS shouts, coalesce(stutters, 0) AS stutters, coalesce(n_lines, 0) AS n_lines,
+  coalesce(shorts - short_kinds, 0) AS recurrences, 3 * other >= coalesce(word_chars, 0) AS other_script, 3 * unspaced >= coalesce(word_chars, 0) AS no_blanks
+  FROM d JOIN script USING (r) LEFT JOIN words USING (r) LEFT JOIN lines USING (r) LEFT JOIN cov USING (r)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND word_chars / n_words BETWEEN 2.0 AND 14.0 AND n_symbols / n_words <= 0.10
-  AND (n_words < 30 OR stops / n_words >= 0.02) AND shouts / n_words <= 0.30 AND stutters / n_words <= 0.30
+  NOT base_failed AND (no_blanks OR word_chars / n_words BETWEEN 2.0 AND 14.0) AND n_symbols / n_words <= 0.10
+  AND (n_words < 30 OR other_script OR recurrences >= 0.02 * n_words OR stops / n_words >= 0.02) AND shouts / n_words <= 0.30 AND stutters / n_words <= 0.30
   AND dups_ok AND n_repeat_words / n_words <= 0.20 AS kept
 FROM (SELECT *, n_lines = 0 OR n_dup_lines / n_lines <= 0.50 AS dups_ok FROM b)
 """

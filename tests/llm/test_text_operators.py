@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import ipaddress
 import re
+import time
 import zlib
 
 import pyarrow as pa
@@ -91,6 +93,26 @@ def test_rules_keep_clean_texts_of_other_languages(spark):
     assert all(got[k].ok_mean_word_length for k in ("zh", "th"))
 
 
+def test_rules_and_their_sql_agree_on_every_script(spark, tmp_path):
+    import duckdb
+
+    ru = "Вчера мы долго гуляли по старому городу и смотрели на реку у самого моста потом зашли в маленькое кафе где было тепло и пахло свежим хлебом а хозяин рассказал нам длинную историю про свой дом"
+    zh = "今天天气很好我们一起去公园散步看到了很多花和树 " * 12
+    it = "il gatto dorme sul divano mentre la pioggia cade e il vento soffia tra gli alberi del giardino dove i bambini giocano con la palla rossa che rotola via di nuovo verso la strada"
+    th = "วันนี้อากาศดีมากเราไปเดินเล่นที่สวนสาธารณะ " * 11
+    junk = " ".join(f"zxqv{k}wrtp" for k in range(40))
+    texts = [ru, zh, it, th, junk, ru + " " + junk, zh + it, "الطقس جميل اليوم وذهبنا إلى الحديقة " * 8, it.upper(), "ab, ab. ab; " * 3 + junk, *EDGE_TEXTS]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op5(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.OP5_SQL})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    kept = {r.doc_id for r in got.collect() if r.kept}
+    assert {0, 2} <= kept and 4 not in kept
+
+
 def test_rules_plan_is_one_projection(spark):
     plan = rules.judge(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
@@ -167,6 +189,30 @@ def test_html_deep_and_long_pages(spark):
     assert html.extract_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("piece", ["<a x=' ", "<a ", "<a<a", "<p><b>", "<div>", "<li><div>", "</div><div><i>", "<!-", "<a x='>\" ", "&amp;<"])
+def test_html_takes_time_in_proportion(piece):
+    def seconds(n):
+        t = time.process_time()
+        html.main_text("<body><p>Some words here.</p>" + piece * n)
+        return time.process_time() - t
+
+    seconds(100)
+    assert seconds(16000) < 0.2 + 12 * seconds(4000)  # 16 times as long if it grew with the square
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    ("<p>a < b and <i title='x>y'>c</i></p>", "a < b and c"), ("<p>one <a x='two</p>", "one <a x='two"), ("<p>a<br/>b</p>", "a b"),
+    ("<p>x <b title=\"q'\">y</b> it's</p>", "x y it's"), ("<p>1</b> 2</p>", "1 2"),
+])
+def test_broken_tags_are_text(source, text):
+    assert html.main_text("<body>" + source) == text
+
+
+def test_html_rows_with_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>One two.</p>", "old", 9, "z")], "page_id bigint, url string, html string, text string, n_chars int, _t string")
+    assert [tuple(r) for r in html.extract_text(pages).collect()] == [(1, "u", "One two.", 8)]
+
+
 def test_html_pages_hold_their_article(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r for r in queries.op6(spark, "/root/testdata/sf0.001").collect()}
@@ -272,6 +318,39 @@ def test_surrogates_keep_type_format_and_identity(spark):
     assert other[1] != new and pii.pseudonymize(docs.limit(0), b"k").count() == 0
 
 
+def test_one_person_and_one_number_have_one_surrogate(spark):
+    texts = ["Mr. Alex Smith", "Dr. Alex Smith", "Mrs. Kim Smith", "Mr. Kim Jones", "+1 (415) 555-0100", "415-555-0100", "06 12 34 56 78", "+33 6 12 34 56 78", "+49 30 1234567", "030 1234567"]
+    rows = [(k, t) for k, t in enumerate([*texts, "10.1.2.3", "192.168.0.7", "172.20.1.1", "127.0.0.1", "8.8.8.8"])]
+    new = [r.text for r in sorted(pii.pseudonymize(spark.createDataFrame(rows, "doc_id bigint, text string"), b"key").collect(), key=lambda r: r.doc_id)]
+    assert new[0].split()[1:] == new[1].split()[1:] and new[0].split()[1].endswith(("o", "us", "ert"))  # Mr tells the gender of both
+    assert new[2].split()[1] == new[3].split()[1] and new[2].split()[2] == new[0].split()[2]  # Kim: titles disagree
+    digits = lambda t: re.sub(r"\D", "", t)
+    assert digits(new[4]) == "1" + digits(new[5]) and re.fullmatch(r"4\d\d-[2-9]\d\d-\d{4}", new[5]) and new[5] != texts[5]
+    assert re.fullmatch(r"06( \d\d){4}", new[6]) and new[7] == "+33" + new[6][:1].replace("0", " ") + new[6][1:]
+    assert new[8].startswith("+49 ") and new[9].startswith("0") and digits(new[8])[2:] == digits(new[9])[1:]
+    for t, n in zip(texts[4:], new[4:10], strict=True):
+        assert [k for _, _, k, _ in pii.mentions(n)] == [k for _, _, k, _ in pii.mentions(t)] == ["phone"]
+    assert new[10].startswith("10.") and new[11].startswith("192.168.") and new[12].startswith("172.") and 16 <= int(new[12].split(".")[1]) < 32 and new[13].startswith("127.")
+    assert ipaddress.IPv4Address(new[14]).is_global and new[14] != "8.8.8.8"
+
+
+def test_surrogates_are_distinct_and_coreferent_by_brute_force(spark):
+    rng = random.Random(11)
+    name = lambda: rng.choice(["Mr.", "Mrs.", "Dr.", "Herr"]) + " " + rng.choice(["Alex", "Kim", "Jan", "Eva"]) + " " + rng.choice(["Roe", "Poe", "Doe"])
+    phone = lambda: rng.choice(["+1 (415) 555-{}", "415-555-{}", "+1 415.555.{}"]).format(1000 + rng.randrange(40))
+    mail = lambda: rng.choice(["a.b@x.org", "A.B@x.org", f"u{rng.randrange(9)}@y.net"])
+    docs = [(k, " then ".join(rng.choice([name, phone, mail])() for _ in range(4))) for k in range(120)]
+    got = {r.doc_id: r.text for r in pii.pseudonymize(spark.createDataFrame(docs, "doc_id bigint, text string"), b"k").collect()}
+    forth, back = {}, {}
+    for k, t in docs:
+        before, after = pii.mentions(t), pii.mentions(got[k])
+        assert [x[2].split(":")[0] for x in before] == [x[2].split(":")[0] for x in after]
+        for x, y in zip(before, after, strict=True):
+            a, b = (pii.entity_type(x[2]), x[3]), (pii.entity_type(y[2]), y[3])
+            assert forth.setdefault(a, b) == b and back.setdefault(b, a) == a and a != b
+    assert not set(forth) & set(back)
+
+
 def test_surrogates_never_collide(spark, monkeypatch):
     # 400 given names through a generator with few names: all must differ, and none may be real
     forms = [(f"given:f:latin", f"name{k}") for k in range(400)] + [("given:f:latin", pii.surrogate(b"k", "given:f:latin", "name1", 0))]
