@@ -47,7 +47,8 @@ def source_targets(counts: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: i
 
     Targets share all words by weight, stop at ``cap`` times their source's size, and reshare the
     excess: they are ``min(cap * source_size, level * weight)`` with the level at which they add
-    up. One row per source goes through the ordered windows, never one per document.
+    up. One row per source goes through the ordered windows in one task, never one per document: meant
+    for up to some millions of sources.
     """
     src = counts.groupBy("source").agg(
         F.sum("n").alias("n_docs"),

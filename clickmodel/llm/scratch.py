@@ -1,7 +1,7 @@
 """Tables written to the folder that all executors share.
 
-The folder is the session's ``spark.checkpoint.dir``. Only where that is unset (tests) a
-folder of the machine is made and set.
+The folder is the session's ``spark.checkpoint.dir``. Only where that is unset and the session
+is local (tests) a folder of the machine is made and set; on a cluster it is an error.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by the session."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="clickmodel-llm-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
