@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 
 def item_fields(schema: T.StructType, column: str) -> T.StructType | None:
     """The fields of an item by the frame's declared type; None for any other type."""
-    declared = dict(zip(schema.names, (f.dataType for f in schema.fields), strict=True)).get(column)
-    match declared:
-        case T.ArrayType(elementType=T.StructType() as fields):
-            return fields
-    return None
+    if column not in schema.names:
+        return None
+    kind = schema[column].dataType
+    is_items = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)
+    return kind.elementType if is_items else None
 
 
 def normalized_items(df: DataFrame, column: str = "items", keep_empty: bool = False) -> Column | None:

@@ -65,10 +65,6 @@ def plan_dates(raw: DataFrame, processed: DataFrame, start=None, days: int | Non
     return todo.unionByName(skipped)
 
 
-def dates_to_process(plan: DataFrame) -> DataFrame:
-    return plan.where(F.col("status") == PROCESS).select("date")
-
-
 def plan_files(raw_files: DataFrame, landed: DataFrame, as_of=None, name: str = "file_name",
                date: str = "date") -> DataFrame:
     """Raw export files to land: not yet landed, and older than ``as_of`` (today's file is
@@ -77,8 +73,3 @@ def plan_files(raw_files: DataFrame, landed: DataFrame, as_of=None, name: str =
     if as_of is not None:
         f = f.where(F.col(date) < _date_value(as_of))
     return f.join(landed.select(name), name, "left_anti").select(name)
-
-
-def partition_report(df: DataFrame, column: str) -> DataFrame:
-    """Rows per partition value (partially aggregated before the shuffle)."""
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))

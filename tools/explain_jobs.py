@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from clickmodel.operators.serving import serving_projection  # noqa: E402
-from clickmodel.operators.sessions import build_sessions, date_window  # noqa: E402
+from clickmodel.operators.sessions import build_sessions  # noqa: E402
 from clickmodel.operators.staging import stage_events  # noqa: E402
 from clickmodel.operators.base import base_model  # noqa: E402
 from clickmodel.plans.jobs import run_base, run_staging  # noqa: E402
@@ -47,10 +47,9 @@ def main():
     plans = {
         "Base job: raw day files -> deduplicated base events": base_model(read_days(spark, f"{root}/raw", days)),
         "Staging job: one day of base events -> staged events": stage_events(
-            date_window(read_partitioned(spark, f"{root}/base"), "2024-01-02", 1)),
+            read_partitioned(spark, f"{root}/base", [days[1]])),
         "Session job: staged day -> session dimension + traffic sources": build_sessions(
-            read_partitioned(spark, f"{root}/stg"), traffic=read_partitioned(spark, f"{root}/traffic"),
-            start="2024-01-02"),
+            read_partitioned(spark, f"{root}/stg", [days[1]]), traffic=read_partitioned(spark, f"{root}/traffic")),
         "Serving projection": serving_projection(read_partitioned(spark, f"{root}/stg")),
     }
     for title, df in plans.items():
