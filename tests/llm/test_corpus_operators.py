@@ -241,3 +241,14 @@ def test_pipeline_runs_its_stages_in_order(spark):
     left = {r.doc_id for r in P.STAGES[0][1](spark, docs, d).collect()}
     long = {r.doc_id for r in docs.collect() if len(r.text.split()) >= 10}
     assert len(clean & long - left) <= 0.05 * len(clean & long)
+
+
+def test_stages_of_an_empty_table(spark):
+    from clickmodel.llm import decontaminate, rules
+
+    docs = edge_docs(spark).limit(0)
+    benchmark = spark.createDataFrame([(1, "one two three")], "item_id bigint, text string")
+    for stage in (rules.keep_good, lines.deduplicated, neardup.one_of_each, lambda d: decontaminate.drop_contaminated(d, benchmark)):
+        out = stage(docs)
+        assert out.columns == docs.columns and out.count() == 0
+    assert mixing.mixed_documents(docs).count() == 0
