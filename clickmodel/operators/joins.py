@@ -27,8 +27,9 @@ def left_join(left: DataFrame, right: DataFrame, key: str, repeated_keys: bool =
     right key of a left outer join. A sketch finds the right keys with more than ``salt_rows``
     rows. Their right rows are dealt out by salt and the left rows of these keys are copied to
     every salt; a copy that meets no right row is dropped, as others of its row do. All other
-    keys join plainly, and each side is planned once. Broadcast by hint are only the heavy keys,
-    at most SKETCH_KEYS of them; else broadcasts are left to the runtime size check.
+    keys join plainly. The left side is planned once; of the right side the key column is read once
+    more, for the sketch. Broadcast by hint are only the heavy keys, at most SKETCH_KEYS of them;
+    else broadcasts are left to the runtime size check.
     """
     if not repeated_keys:
         return left.join(right, on=key, how="left")

@@ -46,10 +46,12 @@ def processed_days(spark: SparkSession, out_prefix: str) -> list[dt.date]:
 
 
 def _digested(base: DataFrame) -> DataFrame:
-    """Base events with the digest (128 bits in two numbers) of what identifies an event. A member
-    that only some exports have does not change it where it is NULL."""
-    columns = [*DEDUP_KEYS, "event_params"]
-    return base.withColumns({"digest_a": F.xxhash64(*columns), "digest_b": F.xxhash64(F.lit("b"), *columns)})
+    """Base events with the digest (128 bits in two numbers) of what identifies an event. A hash
+    passes over NULLs, so the second number also takes in which keys are NULL and the payload as
+    text, which names its members; members that only some exports have change neither where they
+    are NULL."""
+    nulls = [F.col(c).isNull() for c in DEDUP_KEYS]
+    return base.withColumns({"digest_a": F.xxhash64(*DEDUP_KEYS, "event_params"), "digest_b": F.xxhash64(*nulls, *DEDUP_KEYS, F.to_json("event_params"))})
 
 
 def _stored_digests(spark: SparkSession, out_prefix: str, days: list[dt.date]) -> DataFrame:

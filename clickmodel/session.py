@@ -40,9 +40,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: the session's ``spark.checkpoint.dir``.
-    Only where that is unset (local tests) a scratch folder is made and set."""
+    Only where that is unset and the session is local (tests) a scratch folder is made and set; on
+    a cluster it is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="clickmodel-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")

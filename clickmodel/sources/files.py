@@ -275,7 +275,7 @@ def read_partitioned(spark: SparkSession, prefix: str, days: Iterable[dt.date] |
     wanted = set(folders.values()) if days is None else set(days)
     chosen = {n: d for n, d in folders.items() if d in wanted}
     if not chosen:  # no such day: no rows, in the shape of the last one
-        return read_partitioned(spark, prefix, [max(d for d in folders.values() if d)], column).limit(0)
+        return read_partitioned(spark, prefix, [max((d for d in folders.values() if d), default=None)], column).limit(0)
     known = ledger.stored_schemas(spark, prefix, chosen.values())
     frames = []
     for schema, paths in scan_groups((f"{prefix}/{n}", known[d]) for n, d in chosen.items() if d in known):

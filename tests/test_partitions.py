@@ -148,6 +148,31 @@ def test_stale_digests_are_made_anew(spark, tmp_dir):
     assert not rep[DAYS[0]].written and read_partitioned(spark, base, DAYS[:1]).count() == n == spark.read.parquet(f"{base}/_digests").count()
 
 
+def test_digests_tell_nulls_and_members_apart(spark):
+    from clickmodel.operators.dedup import DEDUP_KEYS
+    from clickmodel.plans.jobs import DIGEST, _digested
+    param = "event_params array<struct<key:string,value:struct<string_value:string,int_value:bigint>>>"
+    schema = "event_date_dt date, stream_id bigint, user_pseudo_id string, session_id bigint, event_name string, event_timestamp bigint, " + param
+    rows = [(DAYS[0], 1, "u", 2, "e", 3, p) for p in ([("a", (None, None)), ("b", ("x", None))], [("a", ("b", None)), ("x", (None, None))], [], None, [("a", None)])]
+    rows += [(DAYS[0], None, "u", 2, "e", 3, []), (DAYS[0], 1, None, 2, "e", 3, []), (DAYS[0], 1, "u", 2, None, 3, []), (None, 1, "u", 2, "e", 3, [])]
+    df = spark.createDataFrame(rows, schema)
+    assert df.columns == [*DEDUP_KEYS, "event_params"]
+    assert len({tuple(r) for r in _digested(df).select(*DIGEST).collect()}) == len(rows)
+    # an export with one more member, NULL throughout, has the same digests
+    wider = df.withColumn("event_params", F.transform("event_params", lambda p: p.withField("value", F.when(
+        p["value"].isNotNull(), F.struct(p["value"]["string_value"].alias("string_value"), p["value"]["int_value"].alias("int_value"), F.lit(None).cast("double").alias("double_value"))))))
+    assert sorted(map(tuple, _digested(wider).select(*DIGEST).collect())) == sorted(map(tuple, _digested(df).select(*DIGEST).collect()))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from clickmodel.session import shared_folder
+    unset = SimpleNamespace(get=lambda k, d=None: d)
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="spark://host:7077")))
+
+
 def _staged(spark, rows):
     from clickmodel.operators.base import base_events
     from clickmodel.operators.staging import stage_events
