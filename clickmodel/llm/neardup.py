@@ -9,8 +9,8 @@ lies over many tasks. Each node proposes the most similar of its neighbours.
 
 Proposals are confirmed on full shingle sets in three rounds: every node with the least node of
 its proposed group, then the proposals that still cross groups, and last, in each region with
-several groups, all nodes outside its largest group against all others (inside tasks, which
-return the links alone). Sketches (four bits of
+several groups, all nodes outside its largest group against all others (in tasks of two blocks
+of the region's nodes each, which return the links alone). Sketches (four bits of
 each signature value) rule out pairs far below the threshold; nothing else is left out, and
 nodes already in one group need no further test.
 
@@ -42,7 +42,7 @@ TREES, DEPTH = 32, 4
 VALUES = TREES * DEPTH
 NEIGHBOURS = 16  # earlier neighbours in an order that a node is compared with
 LEAST_EQUAL = 74  # of the 128 sketch values; a pair at 0.75 has 98 on average
-SALT_ROWS = 4096
+BLOCK_ROWS = 4096  # nodes of a region that a task holds, and that it compares them with
 BATCH_TEXTS = 256
 _FACTORS = mix(np.arange(1, VALUES + 1, dtype=np.uint64)) | np.uint64(1)
 _SAME = np.array([((x & 15) == 0) + ((x >> 4) == 0) for x in range(256)], np.int16)
@@ -212,6 +212,9 @@ def enough(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
+WIDE = 1 << 31  # a task is (first block * WIDE + second block)
+
+
 class _Block:
     """Some rows of one region, as arrays."""
 
@@ -224,11 +227,11 @@ class _Block:
 
 
 def _compare_rest(percent: int):
-    """Links between different groups in a region; rows come sorted by (region, salt, kind).
+    """Links between different groups in a region; rows come sorted by (region, task, side).
 
-    kind 0: nodes outside the region's largest group, in every salt; kind 1: nodes of that group.
-    A pair is tested on its full sets, in the first tree in which it shares a region, unless this
-    task has already joined its groups."""
+    A task compares two blocks of a region's nodes: those of side 1 with those of side 0, or, if all
+    are of side 0, each with each. A pair is tested on its full sets, in the first tree in which
+    it shares a region, unless this task has already joined its groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, root = None, [], {}
@@ -253,20 +256,20 @@ def _compare_rest(percent: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            region, salt, kind = (b.column(c).to_numpy() for c in ("region", "salt", "kind"))
-            cut = np.flatnonzero(np.r_[True, (region[1:] != region[:-1]) | (salt[1:] != salt[:-1]) | (kind[1:] != kind[:-1])])
+            region, task, side = (b.column(c).to_numpy() for c in ("region", "task", "side"))
+            cut = np.flatnonzero(np.r_[True, (region[1:] != region[:-1]) | (task[1:] != task[:-1]) | (side[1:] != side[:-1])])
             for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(region)], strict=True):
-                if (region[s], salt[s]) != key:
-                    key, held, root = (region[s], salt[s]), [], {}
-                tree = int(region[s]) & (TREES - 1)
+                if (region[s], task[s]) != key:
+                    key, held, root = (region[s], task[s]), [], {}
+                tree, within = int(region[s]) & (TREES - 1), task[s] // WIDE == task[s] % WIDE
                 for i in range(s, e, 256):
                     now, edges = _Block(b, i, min(e, i + 256)), {}
-                    if kind[s] == 0 and salt[s] == 0:
+                    if within:
                         edges.update(links(now, now, tree))
-                    if kind[s] == 1 or salt[s] == 0:
+                    if within or side[s] == 1:
                         for old in held:
                             edges.update(links(now, old, tree))
-                    if kind[s] == 0:
+                    if side[s] == 0:
                         held.append(now)
                     if edges:
                         yield _edge_batch(edges)
@@ -347,14 +350,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, parts: int | None =
     # Round 3: regions with several groups, nodes outside the largest group against all.
     placed = members.join(labels.select("node", F.col("root").alias("group")), "node", "left").withColumn("group", F.coalesce("group", "node"))
     sizes = placed.groupBy("region", "group").agg(F.count("*").alias("c"))
-    open_ = sizes.groupBy("region").agg(F.max_by("group", F.struct("c", "group")).alias("main"), F.sum("c").alias("m"), F.count("*").alias("k")).where("k > 1")
-    salts = F.ceil(F.col("m") / SALT_ROWS)
-    rest = placed.join(open_, "region")
-    own = F.pmod(F.xxhash64("node"), salts)
-    rest = rest.select("region", "place", "node", "group", (F.col("group") == F.col("main")).cast("int").alias("kind"),
-                       F.explode(F.when(F.col("group") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), salts - 1))).alias("salt"))
+    open_ = sizes.groupBy("region").agg(F.max_by("group", F.struct("c", "group")).alias("main"), F.max("c").alias("most"), F.sum("c").alias("m"), F.count("*").alias("k")).where("k > 1")
+    blocks = lambda c: F.ceil(c / BLOCK_ROWS).cast("long")
+    # Nodes outside the largest group lie in blocks 0 to n_out - 1, those of it in the blocks after.
+    rest = placed.join(open_, "region").withColumns({"n_out": blocks(F.col("m") - F.col("most")), "n_main": blocks(F.col("most"))})
+    in_main, dealt = F.col("group") == F.col("main"), F.xxhash64("node")
+    rest = rest.withColumn("block", F.when(in_main, F.col("n_out") + F.pmod(dealt, "n_main")).otherwise(F.pmod(dealt, "n_out")))
+    others = F.when(in_main, F.sequence(F.lit(0).cast("long"), F.col("n_out") - 1)).otherwise(F.sequence(F.lit(0).cast("long"), F.col("n_out") + F.col("n_main") - 1))
+    rest = rest.select("region", "place", "node", "group", "block", F.explode(others).alias("other"))
+    rest = rest.select("region", "place", "node", "group", (F.least("block", "other") * WIDE + F.greatest("block", "other")).alias("task"), (F.col("block") > F.col("other")).cast("int").alias("side"))
     rest = rest.join(nodes.select("node", "regions"), "node").join(sets, "node")
-    rest = rest.repartition("region", "salt").sortWithinPartitions("region", "salt", "kind", "node")
+    rest = rest.repartition("region", "task").sortWithinPartitions("region", "task", "side", "node")
     last = rest.mapInArrow(_compare_rest(percent), EDGES).select("a", "b")
     labels = connected(tested.where("linked").select("a", "b").unionByName(last))
     # The least id of each group, then of each row.

@@ -166,6 +166,18 @@ def test_rest_round_finds_links_that_proposals_miss(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute_groups(rows)
 
 
+def test_rest_round_over_many_blocks(spark, monkeypatch):
+    # the same with regions of many blocks, in which every pair of blocks must meet once
+    words = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*words[:i], "x", *words[i + 1 :]])) for i in range(0, 60, 2)] + [(100 + i, t) for i, t in enumerate(corpus(6, 12))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plain = neardup.scratch.written
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(neardup.scratch, "written", lambda d, n: plain(d.limit(0) if n == "proposed" else d, n))
+    got = neardup.near_duplicates(df).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute_groups(rows)
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(1000, k) for k in range(1001, 1300)] + [(7, 7), (2000, 1999)]
     got = {r.node: r.root for r in components.connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
