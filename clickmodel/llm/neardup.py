@@ -365,7 +365,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, parts: int | None =
     labels = connected(tested.where("linked").select("a", "b").unionByName(last))
     # The least id of each group, then of each row.
     known = nodes.select("node", "_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = known.groupBy("root").agg(F.min("_id").alias("component_id"))
+    known = scratch.written(known, "grouped")
+    least = scratch.written(known.groupBy("root").agg(F.min("_id").alias("component_id")), "least")  # so that Spark may split a large group in the join
     of_node = scratch.written(known.join(least, "root").select("node", "component_id", "root"), "components")
     out = features.select("_id", "n", "node", "text_hash").join(of_node, "node", "left")
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "_id").alias("component_id"), "root", "text_hash")
