@@ -70,7 +70,7 @@ def repeated_chunks(docs: DataFrame, one_in: int = ONE_IN, roll: int = ROLL, id_
     keyed = multi.select(F.xxhash64("chunk").alias("_h"), F.length("chunk").alias("_len"), place.alias("_at"), "n", "chunk")
     heads = keyed.groupBy("_h", "_len").agg(F.min("_at").alias("_first"), F.count("*").alias("_k")).where("_k > 1").drop("_k")
     heads = scratch.written(heads, "heads")  # so that Spark may split the chunks of a frequent hash in the join
-    twice = scratch.written(keyed.join(heads, ["_h", "_len"]), "repeated-chunks")
+    twice = scratch.written(keyed.join(heads.hint("merge"), ["_h", "_len"]), "repeated-chunks")  # dealt alike at every size
     first = twice.where("_at = _first").select("_h", "_len", F.col("chunk").alias("_bytes")).dropDuplicates(["_h", "_len"])
     later = twice.where("_at <> _first").join(scratch.written(first, "first-chunks"), ["_h", "_len"])
     same = later.where("chunk = _bytes")
