@@ -150,6 +150,17 @@ def test_listing_is_one_level_and_starts_no_task(spark, tmp_dir):
         list_raw_dates(spark, "nosuchscheme://x/raw")
 
 
+def test_a_sum_beyond_bigint_is_folded(spark):
+    from clickmodel.registry import wrapped_sum
+    rows = [(1, 2**63 - 1)] * 3 + [(2, 5), (2, None), (3, None), (4, -2**63), (4, -2**63), (4, -1), (5, 2**63 - 1), (5, 1), (6, -7)]
+    rows += [(7, 1706000000000000 + k) for k in range(6000)]  # a day's timestamps
+    got = spark.createDataFrame(rows, "k int, v bigint").groupBy("k").agg(wrapped_sum("v").alias("s"))
+    exact = {k: sum(v for j, v in rows if j == k and v is not None) for k in range(1, 8)}
+    want = {k: None if k == 3 else (s + 2**63) % 2**64 - 2**63 for k, s in exact.items()}
+    assert exact[7] > 2**63 and want[2] == 5 and want[6] == -7
+    assert dict(map(tuple, got.collect())) == want and dict(got.dtypes)["s"] == "bigint"
+
+
 def test_files_per_day_follow_size_not_shuffle_partitions(spark, tmp_dir):
     import glob
     from clickmodel.sources.sinks import write_partitioned
