@@ -118,17 +118,19 @@ def optional_device(df: DataFrame) -> list[Column]:
     return [F.col(f"device.{m}").alias(a) for m, a in OPTIONAL_DEVICE.items() if has(df.schema, ["device", *m.split(".")])]
 
 
-def dedup_source(source: DataFrame) -> DataFrame:
+def dedup_source(source: DataFrame, by_day: bool = False) -> DataFrame:
     """Deduplicate raw rows before they are flattened: the shuffle carries each raw row and the
-    two key columns that only flattening would make, not the flattened copies."""
+    two key columns that only flattening would make, not the flattened copies. ``by_day``: each
+    task's rows come in the order of their days."""
     keyed = source.withColumns({"__name": clean_event_name("event_name"), "__session": param_columns()["session_id"]})
     keys = [{"event_name": "__name", "session_id": "__session"}.get(k, k) for k in DEDUP_KEYS]
-    return dedup_events(keyed, keys).drop("__name", "__session")
+    return dedup_events(keyed, keys, lead=["event_date_dt"] if by_day else []).drop("__name", "__session")
 
 
-def base_model(raw: DataFrame, raw_name_flags: bool = False, keep: Sequence[str] = ()) -> DataFrame:
-    """Raw daily rows -> deduplicated base events; rows without a date are kept (NULL day)."""
-    return flatten_event(dedup_source(select_source(raw, keep=keep)), raw_name_flags=raw_name_flags, keep=keep)
+def base_model(raw: DataFrame, raw_name_flags: bool = False, keep: Sequence[str] = (), by_day: bool = False) -> DataFrame:
+    """Raw daily rows -> deduplicated base events; rows without a date are kept (NULL day). ``by_day``:
+    each task's rows come in the order of their days, for ``write_partitioned(dealt=True)``."""
+    return flatten_event(dedup_source(select_source(raw, keep=keep), by_day), raw_name_flags=raw_name_flags, keep=keep)
 
 
 def base_events(raw: DataFrame, raw_name_flags: bool = False, keep: Sequence[str] = ()) -> DataFrame:

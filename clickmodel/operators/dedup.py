@@ -32,15 +32,16 @@ def row_order(df: DataFrame) -> list[Column]:
 
 
 def dedup_events(df: DataFrame, keys: Sequence[str | Column] = DEDUP_KEYS, payload: str = "event_params",
-                 order: Sequence[str] | None = None) -> DataFrame:
+                 order: Sequence[str] | None = None, lead: Sequence[str] = ()) -> DataFrame:
     """Drop duplicate events: same key columns and same parameter payload.
 
     Rows are grouped by a digest of keys and payload before the keys themselves, so the sorts
     compare one number a row, and whole keys and payloads only where digests are equal.
     The survivor is the first by ``order``, by default by two hashes of the whole row, so reruns
     agree; exact copies are interchangeable anyway. The payload is compared as an array: the same
-    grouping as by its JSON text, without building a string per row.
+    grouping as by its JSON text, without building a string per row. ``lead`` names keys to sort by
+    before the digest, for a reader that wants each task's rows in their order.
     """
     by = [F.col(c) for c in order] if order else [F.struct(*row_order(df))]  # one column: compared in ties alone
     digested = df.withColumn("__digest", F.xxhash64(*keys, payload))
-    return first_per_group(digested, ["__digest", *keys, payload], by).drop("__digest")
+    return first_per_group(digested, [*lead, "__digest", *[k for k in keys if k not in lead], payload], by).drop("__digest")

@@ -43,12 +43,12 @@ def _flat(spark, d, raw_name_flags=False):
     return B.flatten_event(src, raw_name_flags=raw_name_flags, keep=[ID]).withColumnRenamed(ID, "event_id")
 
 
-def _base(spark, d):
-    return B.base_model(_raw(spark, d), keep=[ID]).withColumnRenamed(ID, "event_id")
+def _base(spark, d, by_day=False):
+    return B.base_model(_raw(spark, d), keep=[ID], by_day=by_day).withColumnRenamed(ID, "event_id")
 
 
-def _staged(spark, d, dedup=True):
-    return ST.stage_events(_base(spark, d) if dedup else _flat(spark, d))
+def _staged(spark, d, dedup=True, by_day=False):
+    return ST.stage_events(_base(spark, d, by_day) if dedup else _flat(spark, d))
 
 
 def _sessions(spark, d):
@@ -672,7 +672,8 @@ def q_quarantine_days(spark, d):
 def q_sessions_over_days(spark, d):
     # a client's events as one session over many days; three windows, the second processed first
     root = _root(spark)
-    write_partitioned(_staged(spark, d).withColumn("session_key", F.col("client_key")), f"{root}/stg", "event_date_dt")
+    staged = _staged(spark, d, by_day=True).withColumn("session_key", F.col("client_key"))
+    write_partitioned(staged, f"{root}/stg", "event_date_dt", dealt=True)
     for start, days in (("2024-01-11", 10), ("2024-01-01", 10), ("2024-01-21", 11)):
         run_sessions(spark, f"{root}/stg", None, f"{root}/ses", start=start, days=days, look_back=31)
     ses = read_partitioned(spark, f"{root}/ses", column="session_start_date")

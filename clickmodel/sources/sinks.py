@@ -27,7 +27,7 @@ def observed(seen: Observation, name: str) -> list:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, keep_copy: str | None = None,
-                      record: bool = True) -> list[dt.date]:
+                      record: bool = True, dealt: bool = False) -> list[dt.date]:
     """Overwrite only the partitions present in ``df`` (others survive); returns their days, as
     observed while the rows were written. ``record`` stores their schema beside the data
     (``sources.ledger``), for readers of a few days.
@@ -35,14 +35,17 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, keep_copy: s
     ``keep_copy`` also stores the partition value inside the files (the partition column itself
     only lives in directory names). Rows are rebalanced by the partition column first, so the
     runtime merges small days into few tasks and splits large ones: the number of files follows
-    the days' sizes, not the number of shuffle partitions.
+    the days' sizes, not the number of shuffle partitions. ``dealt`` is for wide rows of few days
+    that a shuffle has just dealt out evenly: they are not shuffled again, and every task writes
+    a file for each day it holds, so as many files as tasks (whose number follows the rows' size)
+    times days.
     """
     if keep_copy:
         df = df.withColumn(keep_copy, F.col(partition_col))
     mark = ledger.open_write(df.sparkSession, path) if record else None
     seen = Observation()
     df = df.observe(seen, F.collect_set(F.col(partition_col).cast("string")).alias("days"))
-    (df.hint("rebalance", partition_col).sortWithinPartitions(partition_col)
+    ((df if dealt else df.hint("rebalance", partition_col)).sortWithinPartitions(partition_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     days = sorted(dt.date.fromisoformat(d) for d in observed(seen, "days"))
     if mark:

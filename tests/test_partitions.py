@@ -112,6 +112,25 @@ def test_exports_are_scanned_once(spark, tmp_dir):
     assert len(plans) == 1 and len(re.findall(r"\n\(\d+\) Scan parquet", plans[0])) == 1
 
 
+def test_dealt_rows_are_written_by_their_own_tasks(spark, tmp_dir):
+    from clickmodel.operators.dedup import dedup_events
+    param = "array<struct<key:string,value:struct<string_value:string,int_value:bigint>>>"
+    rows = spark.range(400).selectExpr("CASE WHEN id % 5 > 0 THEN date_add(DATE'2024-01-01', CAST(id % 2 AS INT)) END AS event_date_dt", "id % 7 AS stream_id",
+                                       "CASE WHEN id % 3 > 0 THEN 'u' END AS user_pseudo_id", "id % 4 AS session_id", "'e' AS event_name", "id % 40 AS event_timestamp",
+                                       f"CASE WHEN id % 11 > 0 THEN CAST(array() AS {param}) END AS event_params")
+    rows = rows.unionByName(rows)
+    plain, led = dedup_events(rows), dedup_events(rows, lead=["event_date_dt"])
+    in_order = lambda x: sorted(map(str, x.collect()))
+    assert in_order(led) == in_order(plain) and led.columns == plain.columns
+    days = write_partitioned(led.where("event_date_dt IS NOT NULL"), f"{tmp_dir}/out", "event_date_dt", dealt=True)
+    assert days == DAYS[:2]
+    again = led.where("event_date_dt = '2024-01-02'").withColumn("event_name", F.lit("f"))
+    assert write_partitioned(again, f"{tmp_dir}/out", "event_date_dt", dealt=True) == [DAYS[1]]
+    counts = {(r.event_date_dt, r.event_name): r["count"] for r in read_partitioned(spark, f"{tmp_dir}/out").groupBy("event_date_dt", "event_name").count().collect()}
+    want = {r.event_date_dt: r["count"] for r in plain.groupBy("event_date_dt").count().collect()}
+    assert counts == {(DAYS[0], "e"): want[DAYS[0]], (DAYS[1], "f"): want[DAYS[1]]}
+
+
 def test_a_batch_of_copies_rewrites_nothing(spark, tmp_dir):
     raw, base = f"{tmp_dir}/raw", f"{tmp_dir}/base"
     rows = _land(spark, raw, DAYS[:1])
