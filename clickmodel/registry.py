@@ -580,7 +580,7 @@ def q_list_processed_dates(spark, d):
     "session_key FROM stg"))
 def q_read_partitioned(spark, d):
     out = _root(spark)
-    write_partitioned(_staged(spark, d), out, "event_date_dt", keep_copy="_event_date_dt")
+    write_partitioned(_staged(spark, d, by_day=True), out, "event_date_dt", keep_copy="_event_date_dt", dealt=True)
     return read_partitioned(spark, out).select("event_id", _ds("event_date_dt"), _ds("_event_date_dt"), "session_key")
 
 
