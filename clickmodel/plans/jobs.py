@@ -35,6 +35,9 @@ from clickmodel.sources.sinks import observed, partition_rows, write_partitioned
 EXPORTS, QUARANTINE, DIGESTS, LATE = "_exports", "_quarantine", "_digests", "_late"
 DIGEST = ["digest_a", "digest_b"]
 SESSION_DAY = "session_start_date"
+# A batch of this many exports at most is written by the tasks that deduplicate it; a longer one is
+# shuffled once more, by day, as every task would write a small file for each of its days.
+DEALT_DAYS = 31
 REPORT = "date date, status string, written boolean, n_rows bigint, n_quarantined bigint"
 
 
@@ -101,7 +104,9 @@ def _write_batch(spark: SparkSession, raw_prefix: str, out_prefix: str, batch: l
     watched = raw.observe(seen, F.collect_set(F.when(known, day).cast("string")).alias("late"),
                           F.collect_set(F.when(day.isNull(), F.col(EXPORT_DAY)).cast("string")).alias("bad"))
     new = watched.where(day.isNotNull() & ~known).drop(EXPORT_DAY)
-    written = set(write_partitioned(base_model(new, raw_name_flags=raw_name_flags), out_prefix, "event_date_dt"))
+    few = len(batch) <= DEALT_DAYS
+    base = base_model(new, raw_name_flags=raw_name_flags, by_day=few)
+    written = set(write_partitioned(base, out_prefix, "event_date_dt", dealt=few))
     late, bad = (sorted(map(dt.date.fromisoformat, observed(seen, k))) for k in ("late", "bad"))
     if late:
         rows = raw.where(day.isin(late)).drop(EXPORT_DAY)

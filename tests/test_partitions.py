@@ -112,6 +112,23 @@ def test_exports_are_scanned_once(spark, tmp_dir):
     assert len(plans) == 1 and len(re.findall(r"\n\(\d+\) Scan parquet", plans[0])) == 1
 
 
+def test_a_batch_is_shuffled_once(spark, tmp_dir, monkeypatch):
+    from clickmodel.plans import jobs
+    _land(spark, f"{tmp_dir}/raw")
+    text = F.to_json(F.struct("*"))
+    stored = lambda out: sorted(r[0] for r in read_partitioned(spark, out).select(text).collect())
+    shuffles = {}
+    for limit in (len(DAYS), len(DAYS) - 1):  # a batch within the limit, and one beyond it
+        monkeypatch.setattr(jobs, "DEALT_DAYS", limit)
+        start, _ = _scans(spark, 0, "nothing")
+        report = run_base(spark, f"{tmp_dir}/raw", f"{tmp_dir}/base{limit}").collect()
+        assert [(r.date, r.written) for r in report] == [(d, True) for d in DAYS]
+        _, plans = _scans(spark, start, f"{tmp_dir}/raw")
+        shuffles[limit] = plans[0].partition("== Initial Plan ==")[0].count("- Exchange (")
+    assert shuffles == {len(DAYS): 1, len(DAYS) - 1: 2}
+    assert stored(f"{tmp_dir}/base{len(DAYS)}") == stored(f"{tmp_dir}/base{len(DAYS) - 1}") != []
+
+
 def test_dealt_rows_are_written_by_their_own_tasks(spark, tmp_dir):
     from clickmodel.operators.dedup import dedup_events
     param = "array<struct<key:string,value:struct<string_value:string,int_value:bigint>>>"
