@@ -12,7 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from clickmodel.session import local_session
-    s = local_session("*", shuffle_partitions=8, app="clickmodel-tests")
+    # tests look up the plans of their own runs, so none may be dropped from the list meanwhile
+    s = local_session("*", shuffle_partitions=8, app="clickmodel-tests", extra={"spark.sql.ui.retainedExecutions": "100000"})
     yield s
     s.stop()
 
